@@ -23,9 +23,9 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ...functions import smallest_free_color
+from ...functions.colors import SMALLEST_FREE, smallest_free_color
 from ...scratch import Scratch
-from .slots import SLOT_EDGES, every_slot, hub_limit, hub_slots, slot_of_edges
+from .slots import SLOT_EDGES, every_slot_sql, hub_limit, hub_slots, slot_of_edges
 from .validate import UNCOLORED
 
 # Fixed value: the most rounds a run may take.
@@ -91,43 +91,51 @@ class _Edges:
         if previous:
             self.scratch.drop_table(f"edges{previous}")
 
-    def send(self, sources: DataFrame, value: str, upward: bool = False) -> DataFrame:
-        """``(id, received)``: the distinct ``value`` of every node's neighbours in ``sources``.
-
-        With ``upward`` only neighbours with a lower id are heard.
-        """
-        edges = self.table.filter(F.col("src") < F.col("dst")) if upward else self.table
-        senders = sources.select(F.col("id").alias("src"), value)
+    def heard_from(self, senders: str, value: str, condition: str = "true") -> str:
+        """SQL for ``(id, received)``: the distinct ``value`` each node's neighbours send it."""
+        if self.heavy is None:
+            source, match = senders, "s.id = e.src"
+        else:
+            source, match = every_slot_sql(senders, "{heavy}"), "s.id = e.src AND s.slot = e.slot"
+        return f"""
+            SELECT e.dst AS id, collect_set(s.{value}) AS received
+            FROM {{edges}} e JOIN {source} s ON {match}
+            WHERE {condition} GROUP BY e.dst"""
+
+    def run(self, sql: str, active: DataFrame) -> DataFrame:
+        frames = {"edges": self.table, "active": active}
         if self.heavy is not None:
-            senders = every_slot(senders, self.heavy)
-        return (
-            edges.join(senders, self.keys)
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.collect_set(value).alias("received"))
-        )
+            frames["heavy"] = self.heavy
+        return active.sparkSession.sql(sql, **frames)
 
     def close(self) -> None:
         self.scratch.drop_table(f"edges{self.version}")
 
 
 def _round(active: DataFrame, edges: _Edges) -> DataFrame:
-    """State of the active nodes after one round: coloured, or with more colours in use."""
-    proposing = active.withColumn("proposal", smallest_free_color("used"))
-    heard = edges.send(proposing, "proposal", upward=True)
-    beaten = F.coalesce(F.array_contains("received", F.col("proposal")), F.lit(False))
-    decided = proposing.join(heard, "id", "left").select(
-        "id", "degree", "used", F.when(~beaten, F.col("proposal")).alias("color")
-    )
-    told = edges.send(decided.filter(F.col("color").isNotNull()), "color")
-    none = F.array().cast("array<int>")
-    return decided.join(told, "id", "left").select(
-        "id",
-        "degree",
-        F.when(
-            F.col("color").isNull(), F.array_union("used", F.coalesce("received", none))
-        ).alias("used"),
-        "color",
-    )
+    """State of the active nodes after one round: coloured, or with more colours in use.
+
+    One SQL text, since planning is most of the cost of a round over little data.
+    """
+    sql = f"""
+        WITH proposing AS (
+          SELECT id, degree, used, {SMALLEST_FREE} AS proposal FROM {{active}}
+        ),
+        heard AS ({edges.heard_from("proposing", "proposal", "e.src < e.dst")}),
+        decided AS (
+          SELECT p.id, degree, used,
+                 CASE WHEN NOT coalesce(array_contains(received, proposal), false)
+                      THEN proposal END AS color
+          FROM proposing p LEFT JOIN heard h ON h.id = p.id
+        ),
+        told AS ({edges.heard_from("decided", "color", "s.color IS NOT NULL")})
+        SELECT d.id, degree,
+               CASE WHEN color IS NULL
+                    THEN array_union(used, coalesce(received, CAST(array() AS array<int>)))
+               END AS used,
+               color
+        FROM decided d LEFT JOIN told t ON t.id = d.id"""
+    return edges.run(sql, active)
 
 
 def color_graph(

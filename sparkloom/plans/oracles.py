@@ -350,13 +350,14 @@ def _counts_sql() -> str:
 
 def _numeric_sql(columns: list[str], percentiles: bool) -> str:
     ranks = "".join(
-        f", CAST(quantile_disc({{c}}, {p}) AS DOUBLE) AS p{p * 100:g}" for p in (0.25, 0.5, 0.75)
+        f", round(CAST(quantile_disc({{c}}, {p}) AS DOUBLE), 6) AS p{p * 100:g}" for p in (0.25, 0.5, 0.75)
     )
     return f"WITH {ITEMS} " + _union(
         [
             f"SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean,"
             f" round(stddev_samp({c}), 6) AS stddev,"
-            f" CAST(min({c} + 0) AS DOUBLE) AS min, CAST(max({c} + 0) AS DOUBLE) AS max"
+            f" round(CAST(min({c} + 0) AS DOUBLE), 6) AS min,"
+            f" round(CAST(max({c} + 0) AS DOUBLE), 6) AS max"
             + (ranks.format(c=c) if percentiles else "")
             + " FROM items"
             for c in columns
@@ -423,7 +424,7 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY duration DESC, album, part, line, score LIMIT 10""",
         "topk_vs_group": f"""WITH {LONGEST}
             SELECT album, part, line, genre, round(duration / 60000, 6) AS duration_units,
-                   feature_a, CAST(score AS DOUBLE) AS score,
+                   round(feature_a, 6) AS feature_a, CAST(score AS DOUBLE) AS score,
                    round(group_avg_score, 6) AS group_avg_score,
                    round(group_avg_units, 6) AS group_avg_units,
                    round(score - group_avg_score, 6) AS score_vs_group

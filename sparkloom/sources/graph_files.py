@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..operators.graph.changes import CHANGE_TYPES
 from ..operators.graph.slots import SLOT_EDGES, hub_limit, hub_slots, slot_of_edges
 from ..operators.graph.validate import UNCOLORED
-from ..operators.quality import require_rows
 
 NODE_SCHEMA = "id bigint, neighbors array<bigint>, color int"
 CHANGE_SCHEMA = "type string, nodeIdA bigint, nodeIdB bigint, neighbors array<bigint>"
@@ -22,7 +21,8 @@ def read_graph(
     The file is one JSON array, or one record per line with ``json_lines``,
     which Spark reads in parallel. Self-loops and repeated neighbours are
     dropped; a node may come in several records. Raises ``ValueError`` when
-    there is no node; malformed input fails when it is read.
+    there is no node or the first records are malformed; later ones fail when
+    they are read.
     """
     records = (
         spark.read.schema(NODE_SCHEMA)
@@ -31,7 +31,12 @@ def read_graph(
         .json(path)
         .filter(F.col("id").isNotNull())
     )
-    require_rows(records, f"no nodes in {path}")
+    try:
+        empty = records.isEmpty()
+    except Exception as error:
+        raise ValueError(f"cannot read a graph from {path}") from error
+    if empty:
+        raise ValueError(f"no nodes in {path}")
     color = F.max(F.coalesce("color", F.lit(UNCOLORED))).cast("int")
     nodes = records.groupBy("id").agg(color.alias("color"))
     edges = (
@@ -60,7 +65,7 @@ def read_changes(spark: SparkSession, path: str, *, json_lines: bool = False) ->
             spark.read.schema("seq bigint, " + CHANGE_SCHEMA).option("mode", "FAILFAST").json(path)
         )
     else:
-        document = spark.read.option("wholetext", True).text(path)
+        document = spark.read.text(path, wholetext=True)
         records = F.from_json("value", f"array<struct<{_ddl_fields(CHANGE_SCHEMA)}>>")
         records = _checked(records, records.isNotNull(), F.lit("the change log is not a JSON array"))
         parsed = document.select(F.posexplode(records).alias("seq", "c")).select("seq", "c.*")

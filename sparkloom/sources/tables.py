@@ -10,8 +10,7 @@ from ..operators.quality import require_rows
 # The columns of the track file, in file order. The first one is
 # the row number written by the tool that made the file.
 INDEX_COLUMN = "_empty"
-TRACK_SCHEMA = StructType.fromDDL(
-    """
+TRACK_SCHEMA = """
     _empty INT,
     track_id STRING,
     artists STRING,
@@ -33,8 +32,7 @@ TRACK_SCHEMA = StructType.fromDDL(
     tempo FLOAT,
     time_signature INT,
     track_genre STRING
-    """
-)
+"""
 
 # Columns that must be filled, and columns that must lie in 0..1.
 TRACK_REQUIRED = (
@@ -57,18 +55,19 @@ TRACK_PROBE_KEYS = ("track_id", "artists", "track_genre")
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: StructType | str,
     *,
     rfc4180: bool = True,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header and a declared schema; malformed rows are dropped.
+    """CSV with a header and a declared schema (or its DDL); malformed rows are dropped.
 
     A doubled quote inside a quoted field is one quote (RFC 4180); with
-    ``rfc4180=False`` the escape is a backslash, as in Spark's default. Every
-    row is parsed in full whatever columns a query uses, so the same rows count
-    as malformed in all of them. ``multi_line`` allows line breaks inside
-    quotes, at the price of reading each file in one task.
+    ``rfc4180=False`` the escape is a backslash, as in Spark's default. Rows of
+    the wrong length are always dropped; a value that does not fit its type
+    drops the row only in queries that read the column, so write the table once
+    and query the copy. ``multi_line`` allows line breaks inside quotes, at the
+    price of reading each file in one task.
     """
     return (
         spark.read.schema(schema)
