@@ -39,11 +39,13 @@ def boost(df: DataFrame, *, members: str, score: str, sep: str = ";", k: int = 1
 
     The weakest member has the lowest solo average, the first listed on a tie;
     members without solo rows do not count. ``boost`` is the group's average
-    minus that solo average, null when no member has solo rows. Solo averages
-    are only computed for members of the ``k`` groups.
+    minus that solo average, null when no member has solo rows or the group no
+    average. Solo averages are only computed for members of the ``k`` groups.
     """
     top = top_groups(df, members=members, score=score, sep=sep, k=k)
-    listed = top.select(members, F.posexplode(member_list(members, sep)).alias("pos", "member"))
+    listed = top.filter(F.col("avg_score").isNotNull()).select(
+        members, F.posexplode(member_list(members, sep)).alias("pos", "member")
+    )
     wanted = listed.select(F.col("member").alias(members)).distinct()
     solo = solo_avg(
         df.join(wanted, members, "left_semi"), members=members, score=score, sep=sep
