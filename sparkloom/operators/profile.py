@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 # The type names profiled as numbers.
 NUMERIC_TYPES = ("integer", "long", "float", "double")
 
+# Ranges a column is cut into in each pass for an exact percentile.
+CUTS = 1_000
+
 
 def _columns_of(df: DataFrame, kinds: Sequence[str], columns: Sequence[str] | None) -> list[str]:
     chosen = df.columns if columns is None else list(columns)
@@ -55,13 +59,17 @@ def profile_numeric(
     columns: Sequence[str] | None = None,
     percentiles: Sequence[float] = (0.25, 0.5, 0.75),
     accuracy: int = 10_000,
+    exact: bool = False,
 ) -> DataFrame:
     """Per numeric column: mean, sample stddev, min, max and percentiles, nulls left out.
 
     The percentiles are ``percentile_approx`` sketches, so a value's rank is
     off by at most ``rows / accuracy`` and memory does not grow with the data.
+    ``exact`` finds the true ones with :func:`exact_percentiles`, which runs a
+    few passes at once.
     """
     names = _columns_of(df, NUMERIC_TYPES, columns)
+    found = exact_percentiles(df, names, percentiles) if exact else {}
     aggregates = []
     for i, name in enumerate(names):
         col = _quoted(name)
@@ -70,8 +78,13 @@ def profile_numeric(
             F.stddev_samp(col).alias(f"stddev{i}"),
             F.min(col).cast("double").alias(f"min{i}"),
             F.max(col).cast("double").alias(f"max{i}"),
-            F.percentile_approx(col, list(percentiles), accuracy).alias(f"p{i}"),
         ]
+        if exact:
+            ranks = [F.lit(found[name, p]).cast("double") for p in percentiles]
+            aggregates.append(F.array(*ranks).alias(f"p{i}"))
+        else:
+            sketch = F.percentile_approx(col, list(percentiles), accuracy)
+            aggregates.append(sketch.alias(f"p{i}"))
     structs = []
     for i, name in enumerate(names):
         ranks = [
@@ -91,6 +104,77 @@ def profile_numeric(
     return _rows_of(df.agg(*aggregates), structs)
 
 
+def exact_percentiles(
+    df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
+) -> dict[tuple[str, float], float | None]:
+    """The value of rank ``ceil(p * n)`` for every column and ``p``; nulls and NaN left out.
+
+    Each pass counts the rows in ``CUTS`` equal ranges between the bounds known
+    so far and goes on inside the range that holds the rank, until that range is
+    a single value. The driver sees at most ``CUTS`` counts per percentile and
+    pass, and no task has to hold a column's values.
+    """
+    value = {name: _quoted(name).cast("double") for name in columns}
+    kept = {name: F.when(~F.isnan(x), x) for name, x in value.items()}
+    sizes = df.agg(
+        *[F.count(x).alias(f"n{i}") for i, x in enumerate(kept.values())],
+        *[F.min(x).alias(f"low{i}") for i, x in enumerate(kept.values())],
+        *[F.max(x).alias(f"high{i}") for i, x in enumerate(kept.values())],
+    ).first()
+    found: dict[tuple[str, float], float | None] = {}
+    searching = []
+    for i, name in enumerate(columns):
+        n, low, high = sizes[f"n{i}"], sizes[f"low{i}"], sizes[f"high{i}"]
+        for p in percentiles:
+            searching.append((name, p, max(1, ceil(p * n)), low, high))
+    while searching:
+        open_ones = []
+        for name, p, rank, low, high in searching:
+            if low is None or low == high:
+                found[name, p] = low
+            else:
+                open_ones.append((name, p, rank, low, high))
+        if not open_ones:
+            break
+        counts = _count_ranges(df, kept, open_ones)
+        searching = []
+        for i, (name, p, rank, _, _) in enumerate(open_ones):
+            for size, low, high in counts[i]:
+                if rank <= size:
+                    searching.append((name, p, rank, low, high))
+                    break
+                rank -= size
+    return found
+
+
+def _count_ranges(df: DataFrame, kept: dict[str, Column], searches: list[tuple]) -> list[list]:
+    """Per search: (rows, smallest, largest) of each filled range between its bounds, ascending."""
+    hits = []
+    for i, (name, _, _, low, high) in enumerate(searches):
+        x = kept[name]
+        # Halves keep the width finite for bounds of opposite sign.
+        share = (x / 2 - low / 2) / (high / 2 - low / 2)
+        cut = (
+            F.when(x == F.lit(low), -1)
+            .when(x == F.lit(high), CUTS)
+            .otherwise(F.least(F.floor(share * CUTS), F.lit(CUTS - 1)))
+        )
+        inside = x.between(F.lit(low), F.lit(high))
+        hit = F.struct(F.lit(i).alias("search"), cut.cast("int").alias("cut"), x.alias("x"))
+        hits.append(F.when(inside, hit))
+    rows = (
+        df.select(F.inline(F.filter(F.array(*hits), lambda hit: hit.isNotNull())))
+        .groupBy("search", "cut")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .orderBy("search", "cut")
+        .collect()
+    )
+    counts: list[list] = [[] for _ in searches]
+    for row in rows:
+        counts[row["search"]].append((row["n"], row["low"], row["high"]))
+    return counts
+
+
 def profile_top_values(
     df: DataFrame, columns: Sequence[str] | None = None, k: int = 10
 ) -> DataFrame:

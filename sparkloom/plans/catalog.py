@@ -67,6 +67,11 @@ def _cohorts(items: DataFrame) -> DataFrame:
     return cohort.two_cohorts(items, by="genre", features=FEATURES, score="score")
 
 
+def _numeric(items: DataFrame) -> DataFrame:
+    columns = ["score", *FEATURES, "tempo", "duration", "album"]
+    return rounded(profile.profile_numeric(items, columns, exact=True))
+
+
 def _spread(items: DataFrame) -> DataFrame:
     profiled = profile.profile_numeric(items, ["duration", "part", "album"])
     return rounded(profiled.select("column", "mean", "stddev", "min", "max"))
@@ -129,9 +134,7 @@ def queries() -> dict[str, Query]:
         "profile_counts": on_raw(
             lambda d: profile.profile_counts(d, ["album", "line", "genre", *FEATURES])
         ),
-        "profile_numeric": on_items(
-            lambda d: rounded(profile.profile_numeric(d, ["score", *FEATURES, "tempo"]))
-        ),
+        "profile_numeric": on_items(_numeric),
         "profile_numeric_spread": on_items(_spread),
         "profile_top_values": on_items(profile.profile_top_values),
         "profile_boolean": on_items(lambda d: rounded(profile.profile_boolean(d))),

@@ -394,7 +394,9 @@ def oracle_sql() -> dict[str, str]:
                    a - c AS removed_total, c AS rows_out FROM sizes""",
         # profiles
         "profile_counts": _counts_sql(),
-        "profile_numeric": _numeric_sql(["score", "feature_a", "feature_b", "tempo"], True),
+        "profile_numeric": _numeric_sql(
+            ["score", "feature_a", "feature_b", "tempo", "duration", "album"], True
+        ),
         "profile_numeric_spread": _numeric_sql(["duration", "part", "album"], False),
         "profile_top_values": f"WITH {ITEMS} "
         + _union(

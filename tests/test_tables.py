@@ -1,6 +1,7 @@
 """Table operators on hand-made rows: nulls, ties, empty groups, NaN."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,21 @@ def test_percentiles_stay_within_their_tolerance(spark):
         assert abs(got[name] - share * n) <= n / 1000
 
 
+def test_exact_percentiles(spark):
+    rng = random.Random(1)
+    spread = [rng.choice([-1, 1]) * 10 ** rng.uniform(-8, 9) for _ in range(700)]
+    special = [math.inf, -math.inf, 1.7e308, -1.7e308, math.nan, None, 0.0, 0.5]
+    same = [3.0] * 708
+    df = spark.createDataFrame(list(zip(spread + special, same)), "x double, y double")
+    df = df.withColumn("none", F.lit(None).cast("double"))
+    shares = (0.0, 0.001, 0.25, 0.5, 0.77, 1.0)
+    got = profile.exact_percentiles(df, ["x", "y", "none"], shares)
+    clean = sorted(v for v in spread + special if v is not None and not math.isnan(v))
+    for p in shares:
+        assert got["x", p] == clean[max(1, math.ceil(p * len(clean))) - 1]
+        assert got["y", p] == 3.0 and got["none", p] is None
+
+
 def test_profile_top_values_drops_null_after_ranking(spark):
     data = [("a",)] * 3 + [(None,)] * 2 + [("c",)] * 2 + [("b",)] * 2 + [("d",)]
     df = spark.createDataFrame(data, "s string")
