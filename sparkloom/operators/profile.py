@@ -122,35 +122,34 @@ def exact_percentiles(
         *[F.max(x).alias(f"high{i}") for i, x in enumerate(kept.values())],
     ).first()
     found: dict[tuple[str, float], float | None] = {}
-    searching = []
+    # (column, low, high) -> [(p, rank from low), ...]; equal bounds share a count.
+    searching: dict[tuple, list] = {}
     for i, name in enumerate(columns):
         n, low, high = sizes[f"n{i}"], sizes[f"low{i}"], sizes[f"high{i}"]
-        for p in percentiles:
-            searching.append((name, p, max(1, ceil(p * n)), low, high))
+        searching[name, low, high] = [(p, max(1, ceil(p * n))) for p in percentiles]
     while searching:
-        open_ones = []
-        for name, p, rank, low, high in searching:
-            if low is None or low == high:
+        for name, low, high in [key for key in searching if key[1] is None or key[1] == key[2]]:
+            for p, _ in searching.pop((name, low, high)):
                 found[name, p] = low
-            else:
-                open_ones.append((name, p, rank, low, high))
-        if not open_ones:
+        if not searching:
             break
-        counts = _count_ranges(df, kept, open_ones)
-        searching = []
-        for i, (name, p, rank, _, _) in enumerate(open_ones):
-            for size, low, high in counts[i]:
-                if rank <= size:
-                    searching.append((name, p, rank, low, high))
-                    break
-                rank -= size
+        counts = _count_ranges(df, kept, list(searching))
+        narrowed: dict[tuple, list] = {}
+        for (name, _, _), ranges, ranks in zip(searching, counts, searching.values()):
+            for p, rank in ranks:
+                for size, low, high in ranges:
+                    if rank <= size:
+                        narrowed.setdefault((name, low, high), []).append((p, rank))
+                        break
+                    rank -= size
+        searching = narrowed
     return found
 
 
-def _count_ranges(df: DataFrame, kept: dict[str, Column], searches: list[tuple]) -> list[list]:
-    """Per search: (rows, smallest, largest) of each filled range between its bounds, ascending."""
+def _count_ranges(df: DataFrame, kept: dict[str, Column], bounds: list[tuple]) -> list[list]:
+    """Per (column, low, high): (rows, smallest, largest) of each filled range, ascending."""
     hits = []
-    for i, (name, _, _, low, high) in enumerate(searches):
+    for i, (name, low, high) in enumerate(bounds):
         x = kept[name]
         # Halves keep the width finite for bounds of opposite sign.
         share = (x / 2 - low / 2) / (high / 2 - low / 2)
@@ -163,13 +162,14 @@ def _count_ranges(df: DataFrame, kept: dict[str, Column], searches: list[tuple])
         hit = F.struct(F.lit(i).alias("search"), cut.cast("int").alias("cut"), x.alias("x"))
         hits.append(F.when(inside, hit))
     rows = (
-        df.select(F.inline(F.filter(F.array(*hits), lambda hit: hit.isNotNull())))
+        df.select(F.inline(F.array(*hits)))
+        .filter(F.col("search").isNotNull())
         .groupBy("search", "cut")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
         .orderBy("search", "cut")
         .collect()
     )
-    counts: list[list] = [[] for _ in searches]
+    counts: list[list] = [[] for _ in bounds]
     for row in rows:
         counts[row["search"]].append((row["n"], row["low"], row["high"]))
     return counts
