@@ -450,12 +450,12 @@ def oracle_sql() -> dict[str, str]:
         "flag_impact_top": f"""WITH {IMPACT}
             SELECT 'Positive' AS impact, rank, genre, round(difference, 6) AS difference
             FROM (SELECT genre, difference,
-                         row_number() OVER (ORDER BY difference DESC, genre) AS rank
+                         CAST(row_number() OVER (ORDER BY difference DESC, genre) AS INT) AS rank
                   FROM impact WHERE impact = 'Positive') WHERE rank <= 10
             UNION ALL
             SELECT 'Negative', rank, genre, round(difference, 6)
             FROM (SELECT genre, difference,
-                         row_number() OVER (ORDER BY difference, genre) AS rank
+                         CAST(row_number() OVER (ORDER BY difference, genre) AS INT) AS rank
                   FROM impact WHERE impact = 'Negative') WHERE rank <= 10""",
         "flag_by_bucket": f"""WITH {FLAG_BUCKETS}
             SELECT bucket, round(flag_avg, 6) AS flag_avg, round(other_avg, 6) AS other_avg,
