@@ -108,17 +108,17 @@ def acoustic_vs_vocal(tracks: DataFrame) -> Parts:
     return {"genres": groups, "summary": cohort.two_cohorts_summary(groups)}
 
 
-# Result names in report order.
+# The analyses in report order.
 ANALYSES: Mapping[str, tuple[str, Callable[[DataFrame], Parts]]] = {
-    "01_distribution_analysis": ("Statistics of every column", distribution),
-    "02_collaboration_analysis": ("Most frequent collaborations", collaborations),
-    "03_breakthrough_songs": ("Hits on weak albums", breakthroughs),
-    "04_tempo_sweetspot": ("Best tempo range of the top genres", tempo_sweet_spot),
-    "05_explicit_content_correlation": ("Explicit content by genre", explicit_content),
-    "06_long_danceable_tracks": ("Longest danceable tracks", long_danceable),
-    "07_explicitness_valence": ("Explicit content and valence", explicit_valence),
-    "08_artist_consistency": ("Steadiest artists and their genres", artist_consistency),
-    "09_acoustic_vs_vocal": ("Acoustic against vocal genres", acoustic_vs_vocal),
+    "01_distribution": ("Statistics of every column", distribution),
+    "02_collaborations": ("Most frequent collaborations", collaborations),
+    "03_breakthroughs": ("Hits on weak albums", breakthroughs),
+    "04_tempo_ranges": ("Best tempo range of the top genres", tempo_sweet_spot),
+    "05_explicit_by_genre": ("Explicit content by genre", explicit_content),
+    "06_long_danceable": ("Longest danceable tracks", long_danceable),
+    "07_explicit_valence": ("Explicit content and valence", explicit_valence),
+    "08_artist_spread": ("Steadiest artists and their genres", artist_consistency),
+    "09_acoustic_vocal": ("Acoustic against vocal genres", acoustic_vs_vocal),
 }
 
 

@@ -17,21 +17,19 @@ DATABASE = "sparkloom_scratch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Where it is unset, a local session gets a temporary folder; on a cluster
+    Where neither is set, a local session gets a temporary folder; on a cluster
     that is an error, since other machines would not see it.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_SETTING
-    )
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="sparkloom-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sparkloom-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 class Scratch:

@@ -75,14 +75,14 @@ def test_track_report(spark, tmp_path):
     assert set(track_report.ANALYSES) | {"10_mine", "whole run"} <= set(names)
     report = spark.read.json(f"{out}/00_cleaning/report").first()
     assert (report["rows_in"], report["removed_null"], report["removed_range"]) == (62, 1, 1)
-    columns = spark.read.json(f"{out}/01_distribution_analysis/columns")
+    columns = spark.read.json(f"{out}/01_distribution/columns")
     assert columns.count() == 20 and columns.first()["row_count"] == 60
-    top = spark.read.json(f"{out}/02_collaboration_analysis/top_groups").first()
+    top = spark.read.json(f"{out}/02_collaborations/top_groups").first()
     assert (top["artists"], top["group_count"]) == ("A;B", 15)
-    assert spark.read.json(f"{out}/06_long_danceable_tracks/top").count() == 10
+    assert spark.read.json(f"{out}/06_long_danceable/top").count() == 10
     assert spark.read.json(f"{out}/10_mine/rows").count() == 6
-    about = spark.read.json(f"{out}/09_acoustic_vs_vocal/about").first()
-    assert about["analysis_name"] == "09_acoustic_vs_vocal"
+    about = spark.read.json(f"{out}/09_acoustic_vocal/about").first()
+    assert about["analysis_name"] == "09_acoustic_vocal"
 
 
 def test_run_metrics(spark):

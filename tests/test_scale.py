@@ -134,18 +134,24 @@ def test_block_size_does_not_matter(spark):
 
 
 class FakeSession:
-    """Stands in for a cluster session whose checkpoint folder is, or is not, set."""
+    """Stands in for a session whose checkpoint folder is, or is not, set."""
 
-    def __init__(self, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+    def __init__(self, setting=None, context_folder=None, master="yarn"):
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
         self.sparkContext = self
-        self.master = "yarn"
+        self.folder, self.master = context_folder, master
 
-    def getConf(self):
-        return {}
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = "file:" + folder
 
 
 def test_shared_folder():
-    assert shared_folder(FakeSession("hdfs://all/x/")) == "hdfs://all/x"
+    assert shared_folder(FakeSession("hdfs://all/x/", "hdfs://other")) == "hdfs://all/x"
+    assert shared_folder(FakeSession(None, "hdfs://other")) == "hdfs://other"
     with pytest.raises(ValueError):
-        shared_folder(FakeSession(None))
+        shared_folder(FakeSession())
+    local = FakeSession(master="local[4]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
