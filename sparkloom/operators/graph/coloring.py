@@ -145,6 +145,7 @@ def color_graph(
     max_rounds: int | None = None,
     slot_edges: int = SLOT_EDGES,
     compact_edges: int = COMPACT_EDGES,
+    stored: bool = False,
 ) -> Coloring:
     """Colour the uncoloured nodes of ``nodes(id, color)``; coloured ones stay as they are.
 
@@ -152,6 +153,8 @@ def color_graph(
     an uncoloured node has no free colour below it. The round limit defaults to
     twice the number of nodes, at most 500; a long path in id order needs more.
     On failure the undecided nodes keep a null colour and ``best_k`` is -1.
+    ``stored`` says that ``edges`` is a plain read of files; otherwise it is
+    written once first, as it is read more than once.
     """
     spark = nodes.sparkSession
     scratch = Scratch(spark, "coloring")
@@ -170,6 +173,8 @@ def color_graph(
     fixed = given.filter(F.col("color").isNotNull())
 
     reaching = edges.select("src", "dst").filter(F.col("src") != F.col("dst"))
+    if not stored:
+        reaching = scratch.write(reaching, "edges")
     start = todo
     if totals["colored"]:
         # Only the uncoloured part of the graph matters from here on.

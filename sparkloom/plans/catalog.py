@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions import by_bounds, equal_width
 from ..operators import cohort, collab, consistency, graph, outlier, profile, quality, sweetspot, topk
+from ..scratch import Scratch
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,10 +89,18 @@ def _color_count(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def _apply_changes(spark: SparkSession, sf: str) -> DataFrame:
-    nodes, edges = graph.apply_changes(
-        fx.part_nodes(spark, sf), fx.part_edges(spark, sf), fx.part_changes(spark, sf)
+def _graph_and_log(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes, half-edges and change log, written once as each is read several times."""
+    scratch = Scratch(spark, "graph_and_log")
+    return (
+        fx.part_nodes(spark, sf),
+        scratch.write(fx.part_edges(spark, sf), "edges"),
+        scratch.write(fx.part_changes(spark, sf), "changes"),
     )
+
+
+def _apply_changes(spark: SparkSession, sf: str) -> DataFrame:
+    nodes, edges = graph.apply_changes(*_graph_and_log(spark, sf))
     null = F.lit(None).cast("bigint").alias("b")
     return edges.select(
         F.lit("edge").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b")
@@ -99,15 +108,13 @@ def _apply_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _affected(spark: SparkSession, sf: str) -> DataFrame:
-    changes = fx.part_changes(spark, sf)
-    changed = graph.apply_changes(fx.part_nodes(spark, sf), fx.part_edges(spark, sf), changes)
-    return graph.affected_nodes(*changed, changes)
+    nodes, edges, changes = _graph_and_log(spark, sf)
+    return graph.affected_nodes(*graph.apply_changes(nodes, edges, changes), changes)
 
 
 def _recolor(spark: SparkSession, sf: str) -> DataFrame:
-    edges = fx.part_edges(spark, sf)
-    first = graph.color_graph(fx.part_nodes(spark, sf), edges)
-    changes = fx.part_changes(spark, sf)
+    nodes, edges, changes = _graph_and_log(spark, sf)
+    first = graph.color_graph(nodes, edges, stored=True)
     done = graph.recolor(first.colors, edges, changes, first.best_k, allow_new_colors=True)
     return done.nodes.select("id", "color")
 

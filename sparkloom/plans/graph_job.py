@@ -81,7 +81,7 @@ def run(
     if coloring:
         started = time.perf_counter()
         blank = nodes.withColumn("color", F.lit(-1))
-        done = graph.color_graph(blank, edges, k_max=initial_colors)
+        done = graph.color_graph(blank, edges, k_max=initial_colors, stored=True)
         result.best_k, result.success = done.best_k, done.success
         rounds = graph.coloring_rounds(done).agg(
             F.lit(done.best_k).alias("bestK"),
