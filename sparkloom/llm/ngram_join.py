@@ -10,10 +10,10 @@ entries.
 
 Counts that settle the order are taken over the first shingles by hash of every
 set, enough for most prefixes; sets in which too few of those are rare are read
-whole. List members are compared in blocks by bit signatures whose distance never
-exceeds the sets' difference, so no link is lost; what remains is checked on the
-sets themselves. The first pass over the lists hands on one partner per member,
-the second every pair that is not connected by then.
+whole. Candidates are compared by bit signatures whose distance never exceeds the sets'
+difference, so no link is lost; what remains is checked on the sets themselves.
+Long lists do that in blocks and in two passes: the first hands on one partner
+per member, the second every pair that is not connected by then.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ from .filters import bitmap, hits
 SHINGLE = 3
 PERCENT = 90
 RARE = 16  # shingles counted more often come later in the order, by powers of two
-BLOCK = 512  # list members compared in one go
+SHORT = 32  # lists up to this length hand on pairs of numbers, longer ones compare signatures
+BLOCK = 512  # members of a long list compared in one go
 LIGHT_LIMIT = 28  # largest boundary considered
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -66,7 +67,7 @@ def _subset_count(n: int, boundary: int, percent: int) -> int:
 def _signature(values: np.ndarray) -> bytes:
     """Parity bits of the hashed members; sets that differ in d members differ in d bits at most."""
     bits = 64
-    while bits < 4 * len(values):
+    while bits < 2 * len(values):
         bits *= 2
     at = (words.mix(values, 3) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1).tobytes()
@@ -144,25 +145,30 @@ def _fetch(texts: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     return sets.join(reps, ["id", "key"]).select("uid", "members")
 
 
-def _head_rows(shared: np.ndarray):
-    """Rows of uid, size, length of the head, position and token, for marked tokens."""
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All members of a list column, and where each row starts."""
+    lengths = np.asarray(lists.value_lengths().fill_null(0), np.int64)
+    return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _frequent_rows(frequent: np.ndarray):
+    """Rows of uid, size, length of the head, place and token, for marked tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
-            tokens = lists.flatten().to_numpy()
-            lengths = np.asarray(lists.value_lengths().fill_null(0), np.int64)
-            owner = np.repeat(np.arange(len(lists)), lengths)
-            place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            keep = hits(shared, tokens)
-            owner, place, tokens = owner[keep], place[keep], tokens[keep]
+            tokens, starts = _flat(batch.column(2))
+            lengths = np.diff(starts)
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            keep = hits(frequent, tokens)
+            place = (np.arange(len(tokens)) - starts[owner])[keep]
+            owner = owner[keep]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(batch.column(0).to_numpy()[owner], pa.int64()),
                     pa.array(batch.column(1).to_numpy()[owner], pa.int64()),
-                    pa.array(lengths[owner], pa.int64()),
-                    pa.array(place, pa.int64()),
-                    pa.array(tokens, pa.int64()),
+                    pa.array(lengths[owner], pa.int32()),
+                    pa.array(place, pa.int32()),
+                    pa.array(tokens[keep], pa.int64()),
                 ],
                 ["uid", "n", "length", "place", "token"],
             )
@@ -170,46 +176,46 @@ def _head_rows(shared: np.ndarray):
     return run
 
 
-def _prefix_entries(percent: int):
-    """List entries of each set, or its uid alone if its head is too short to tell.
-
-    Tokens that are not listed occur in one head only, so they are rare and need
-    no entry, but they take up places.
-    """
+def _prefix_entries(percent: int, shared: np.ndarray | None):
+    """Rows of uid, size and token: the marked ones among a set's first in the order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uids, sizes, tokens = [], [], []
-            for uid, n, length, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                need = prefix_length(n, percent)
-                known.sort(key=lambda x: x["place"])
-                frequent = [x for x in known if x["level"]]
-                rare = length - len(frequent)
-                if length < n and rare < need:
-                    uids.append(uid)
-                    sizes.append(None)
-                    tokens.append(0)
-                    continue
-                passed, chosen = 0, []
-                for x in known:
-                    if x["level"]:
-                        passed += 1
-                    elif x["place"] - passed < need:
-                        chosen.append(x["token"])
-                if rare < need:
-                    frequent.sort(key=lambda x: (x["level"], x["place"]))
-                    chosen += [x["token"] for x in frequent[: need - rare]]
-                uids += [uid] * len(chosen)
-                sizes += [n] * len(chosen)
-                tokens += chosen
+            heads, starts = _flat(batch.column(2))
+            n, chosen = batch.column(1).to_numpy(), []
+            for row, known in enumerate(batch.column(3).to_pylist()):
+                tokens = heads[starts[row] : starts[row + 1]]
+                need = prefix_length(int(n[row]), percent)
+                if known:
+                    level = np.zeros(len(tokens), np.int64)
+                    level[[x["place"] for x in known]] = [x["level"] for x in known]
+                    tokens = tokens[np.argsort(level, kind="stable")]
+                chosen.append(tokens[:need])
+            lengths = [len(x) for x in chosen]
+            tokens = np.concatenate([np.zeros(0, np.int64), *chosen])
+            keep = np.ones(len(tokens), bool) if shared is None else hits(shared, tokens)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64())],
+                [
+                    pa.array(np.repeat(batch.column(0).to_numpy(), lengths)[keep], pa.int64()),
+                    pa.array(np.repeat(n, lengths)[keep], pa.int64()),
+                    pa.array(tokens[keep], pa.int64()),
+                ],
                 ["uid", "n", "token"],
             )
 
     return run
 
 
+def _marked(uids: np.ndarray):
+    """The rows whose uid is marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(hits(uids, batch.column(0).to_numpy())))
+
+    return run
+
+
 def _subsets(boundary: int, percent: int):
     """Rows of family, subset hash and uid for light sets, whose head is the whole set."""
 
@@ -290,17 +296,38 @@ def _close_pairs(n, signatures, sides, parts, boundary, percent, all_pairs):
         yield int(order[i]), int(order[j])
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list]]:
+    """Tables of whole runs of equal keys with their cuts; rows arrive sorted by the keys."""
+
+    def cut(table: pa.Table) -> tuple[pa.Table, list]:
+        ids = np.stack([table.column(c).to_numpy() for c in keys])
+        cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
+        return table, [0, *cuts.tolist(), table.num_rows]
+
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+        if table.num_rows == 0:
+            continue
+        ids = [table.column(c).to_numpy() for c in keys]
+        same = np.logical_and.reduce([x == x[-1] for x in ids])
+        start = 0 if same.all() else table.num_rows - int(np.argmin(same[::-1]))
+        if start:
+            yield cut(table.slice(0, start))
+        rest = table.slice(start)
+    if rest is not None and rest.num_rows:
+        yield cut(rest)
+
+
+_PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
 def _scan(boundary: int, percent: int, all_pairs: bool):
-    """Pairs of sets from list blocks; rows arrive sorted by block."""
+    """Pairs of sets from blocks of long lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-
-        def blocks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            ids = np.stack([table.column(c).to_numpy() for c in ("token", "i", "j")])
-            cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
-            cuts = [0, *cuts.tolist(), table.num_rows]
+        for table, cuts in _runs(batches, ["token", "i", "j"]):
             n, side = table.column("n").to_numpy(), table.column("side").to_numpy()
             uids, sigs = table.column("uid").to_pylist(), table.column("signature").to_pylist()
             parts = table.column("part").to_pylist()
@@ -315,38 +342,88 @@ def _scan(boundary: int, percent: int, all_pairs: bool):
                         v.append(uids[a + y])
             for start in range(0, len(u), 100_000):
                 stop = start + 100_000
-                yield pa.RecordBatch.from_pydict({"u": u[start:stop], "v": v[start:stop]}, schema)
+                yield pa.RecordBatch.from_pydict({"u": u[start:stop], "v": v[start:stop]}, _PAIR)
+
+    return run
 
+
+def _scan_short(boundary: int, percent: int):
+    """Pairs of sets of fitting sizes from short lists, smaller number first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cuts in _runs(batches, ["token"]):
+            n, uids = table.column("n").to_numpy(), table.column("uid").to_numpy()
+            length = np.diff(cuts)
+            first = np.repeat(np.array(cuts[:-1]), length)
+            u, v = [], []
+            # Each entry with the one a few places before it in its list.
+            for back in range(1, int(length.max(initial=0))):
+                at = np.flatnonzero(np.arange(len(n)) - back >= first)
+                low, high = np.minimum(n[at], n[at - back]), np.maximum(n[at], n[at - back])
+                at = at[(high > boundary) & (low * 100 >= high * percent)]
+                u.append(np.minimum(uids[at], uids[at - back]))
+                v.append(np.maximum(uids[at], uids[at - back]))
+            if u:
+                arrays = [pa.array(np.concatenate(u)), pa.array(np.concatenate(v))]
+                yield pa.RecordBatch.from_arrays(arrays, schema=_PAIR)
+
+    return run
+
+
+def _near(percent: int):
+    """The pairs whose signatures allow them to be similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
-            if table.num_rows == 0:
-                continue
-            ids = [table.column(c).to_numpy() for c in ("token", "i", "j")]
-            same = np.logical_and.reduce([x == x[-1] for x in ids])
-            start = table.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
-            yield from blocks(table.slice(0, start)) if start else ()
-            rest = table.slice(start)
-        if rest is not None and rest.num_rows:
-            yield from blocks(rest)
+            sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            allowed = sizes * (100 - percent) // (100 + percent)
+            keep = np.zeros(batch.num_rows, bool)
+            both = zip(batch.column("x"), batch.column("y"), strict=True)
+            for row, (x, y) in enumerate(both):
+                x = np.frombuffer(x.as_buffer(), np.uint64)[None]
+                y = np.frombuffer(y.as_buffer(), np.uint64)[None]
+                width = min(x.shape[1], y.shape[1])
+                distance = np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum()
+                keep[row] = distance <= allowed[row]
+            yield batch.select(["u", "v"]).filter(pa.array(keep))
 
     return run
 
 
-def _entries(classes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """Prefix entries of the classes; shared tokens are those in more than one head."""
-    marked = bitmap(shared.select(F.col("token").alias("hash")))
-    rows = classes.select("uid", "n", "head").mapInArrow(
-        _head_rows(marked), "uid long, n long, length long, place long, token long"
+_SET = "uid long, n long, head array<long>"
+_ENTRY = "uid long, n long, token long"
+
+
+def _frequent(sets: DataFrame, levels: DataFrame) -> DataFrame:
+    """Places and levels of the frequent tokens in each head that has one."""
+    marked = bitmap(levels.select(F.col("token").alias("hash")))
+    rows = sets.select("uid", "n", "head").mapInArrow(
+        _frequent_rows(marked), "uid long, n long, length int, place int, token long"
+    )
+    return (
+        rows.hint("merge")
+        .join(levels.hint("merge"), "token")
+        .groupBy("uid")
+        .agg(
+            F.first("n").alias("n"),
+            F.first("length").alias("length"),
+            F.collect_list(F.struct("place", "level")).alias("known"),
+        )
     )
-    known = rows.hint("merge").join(shared.hint("merge"), "token")
-    of_set = known.groupBy("uid").agg(
-        F.first("n").alias("n"),
-        F.first("length").alias("length"),
-        F.collect_list(F.struct("place", "token", "level")).alias("known"),
+
+
+def _entries(sets: DataFrame, frequent: DataFrame, shared: np.ndarray | None, percent: int):
+    """Prefix entries; only heads with frequent tokens are shuffled to meet their levels."""
+    uids = bitmap(frequent.select(F.col("uid").alias("hash")))
+    sets = sets.select("uid", "n", "head")
+    with_known = sets.mapInArrow(_marked(uids), _SET).join(
+        frequent.select("uid", "known"), "uid", "left"
     )
-    return of_set.select("uid", "n", "length", "known").mapInArrow(
-        _prefix_entries(percent), "uid long, n long, token long"
+    plain = F.lit(None).cast("array<struct<place:int,level:int>>")
+    without = sets.mapInArrow(_marked(~uids), _SET).withColumn("known", plain)
+    run = _prefix_entries(percent, shared)
+    return with_known.select("uid", "n", "head", "known").mapInArrow(run, _ENTRY).union(
+        without.select("uid", "n", "head", "known").mapInArrow(run, _ENTRY)
     )
 
 
@@ -354,21 +431,25 @@ def _lists(classes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percen
     """Inverted lists with more than one entry: ``token, uid, n, length``."""
     counts = classes.select(F.explode("head").alias("token")).groupBy("token").count()
     level = F.when(F.col("count") > RARE, F.floor(F.log2("count"))).otherwise(0).cast("int")
-    shared = counts.where("count > 1").select("token", level.alias("level"))
-    shared = scratch.write(shared, "shared")
-    first = scratch.write(_entries(classes, shared, percent), "first")
-    open_sets = first.where("n IS NULL").select("uid")
-    whole = _fetch(texts, reps.join(open_sets, "uid", "left_semi"), k).select(
+    counted = counts.where("count > 1").select("token", level.alias("level"))
+    counted = scratch.write(counted, "counted")
+    levels = counted.where("level > 0")
+    frequent = scratch.write(_frequent(classes, levels), "frequent")
+    # Heads with too few rare tokens do not settle the prefix: those sets are read whole.
+    need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    few = F.col("length") - F.size("known") < need
+    short = frequent.where((F.col("length") < F.col("n")) & few).select("uid")
+    whole = _fetch(texts, reps.join(short, "uid", "left_semi"), k).select(
         "uid", F.size("members").cast("long").alias("n"), F.col("members").alias("head")
     )
     whole = scratch.write(whole.dropDuplicates(["uid"]), "whole")
-    # Tokens behind the heads become known, so that other sets list them as well.
-    late = whole.select(F.explode("head").alias("token")).distinct()
-    late = late.join(shared, "token", "left_anti").select("token", F.lit(0).alias("level"))
-    shared = scratch.write(shared.union(late), "known")
-    closed = classes.select("uid", "n", "head").join(open_sets, "uid", "left_anti")
-    both = closed.union(whole)
-    entries = scratch.write(_entries(both, shared, percent).where("n IS NOT NULL"), "entries")
+    known = scratch.write(_frequent(whole, levels), "known")
+    late = scratch.write(_entries(whole, known, None, percent), "late")
+    # What those list behind their heads is listed by the other sets as well.
+    shared = bitmap(counted.select(F.col("token").alias("hash")))
+    shared = shared | bitmap(late.select(F.col("token").alias("hash")))
+    settled = _entries(classes, frequent, shared, percent).join(short, "uid", "left_anti")
+    entries = scratch.write(settled.union(late), "entries")
     lengths = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
     return scratch.write(entries.hint("merge").join(lengths.hint("merge"), "token"), "lists")
 
@@ -426,7 +507,7 @@ def _blocks(lists: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(lists: DataFrame, boundary: int, percent: int, all_pairs: bool) -> DataFrame:
+def _long_pairs(lists: DataFrame, boundary: int, percent: int, all_pairs: bool) -> DataFrame:
     block = ["token", "i", "j"]
     return (
         _blocks(lists)
@@ -438,6 +519,21 @@ def _candidates(lists: DataFrame, boundary: int, percent: int, all_pairs: bool)
     )
 
 
+def _short_pairs(lists: DataFrame, classes: DataFrame, boundary: int, percent: int) -> DataFrame:
+    pairs = (
+        lists.select("token", "uid", "n")
+        .repartition("token")
+        .sortWithinPartitions("token")
+        .mapInArrow(_scan_short(boundary, percent), "u long, v long")
+        .distinct()
+    )
+    one = classes.select(F.col("uid").alias("u"), "n", F.col("signature").alias("x"))
+    two = classes.select(
+        F.col("uid").alias("v"), F.col("n").alias("m"), F.col("signature").alias("y")
+    )
+    return pairs.join(one, "u").join(two, "v").mapInArrow(_near(percent), "u long, v long")
+
+
 def _checked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs whose sets are similar, by the sets themselves."""
     wanted = pairs.select(F.col("u").alias("uid")).union(pairs.select(F.col("v").alias("uid")))
@@ -488,11 +584,14 @@ def jaccard_components(
     boundary = _boundary(classes, lists, percent)
     light = _light_links(classes, boundary, percent)
     # Smaller sets meet none above the boundary.
-    full = lists.where(F.col("n") * 100 >= percent * (boundary + 1))
-    full = full.join(classes.select("uid", "signature"), "uid")
+    heavy = lists.where(F.col("n") * 100 >= percent * (boundary + 1))
+    full = heavy.where(f"length > {SHORT}").join(classes.select("uid", "signature"), "uid")
     full = scratch.write(full.withColumn("blocks", F.ceil(F.col("length") / BLOCK)), "full")
     alone = full.withColumn("part", F.lit(None).cast("long"))
-    pairs = scratch.write(_candidates(alone, boundary, percent, False), "pairs")
+    pairs = _long_pairs(alone, boundary, percent, False).union(
+        _short_pairs(heavy.where(f"length <= {SHORT}"), classes, boundary, percent)
+    )
+    pairs = scratch.write(pairs.distinct(), "pairs")
     links = _checked(pairs, reps, texts, k, percent).union(light)
     found = scratch.write(components(links, scratch, "near"), "found")
 
@@ -501,7 +600,7 @@ def jaccard_components(
     ends = parts.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     split = ends.where("low <> high").select("token")
     parts = parts.hint("merge").join(split.hint("merge"), "token")
-    more = _candidates(parts, boundary, percent, True).join(pairs, ["u", "v"], "left_anti")
+    more = _long_pairs(parts, boundary, percent, True).join(pairs, ["u", "v"], "left_anti")
     added = _checked(scratch.write(more, "more"), reps, texts, k, percent)
     stars = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
     every = scratch.write(components(stars.union(added), scratch, "far"), "every")
@@ -520,3 +619,33 @@ def jaccard_components(
         .join(of_class.hint("merge"), "key", "left")
         .select(id_col, "n_shingles", own.alias("component_id"))
     )
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3
+           THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]
+                               FOR i IN range(1, len(w) - 1)])
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM texts),
+members AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT u, v FROM pairs JOIN sets a ON a.doc_id = u JOIN sets b ON b.doc_id = v
+  WHERE 100 * shared >= 90 * (len(a.s) + len(b.s) - shared)),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT r.doc_id, b.v FROM reached r JOIN both_ways b ON r.other = b.u)
+SELECT doc_id, CAST(len(any_value(s)) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reached JOIN sets USING (doc_id) GROUP BY doc_id
+"""
