@@ -2,25 +2,83 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import ngram_join
+from sparkloom.llm import linear_text, mixing, ngram_join, packing, secret_scan
+from sparkloom.llm.filters import bitmap, hits
 from sparkloom.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar documents."""
-    groups = ngram_join.jaccard_components(docs)
-    kept = groups.where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in a learned language; a missing label is filled in."""
+    docs = docs.select(*COLUMNS)
+    model = linear_text.train(docs, "doc_id", "text", "lang")
+    return linear_text.keep_accepted(docs, model, "text", "lang")
+
+
+def _rows(marked, there: bool):
+    """The rows whose hash, in the last column, is marked or is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = hits(marked, batch.column(batch.num_columns - 1).to_numpy())
+            yield batch.filter(pa.array(found if there else ~found))
+
+    return run
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays, that with the smallest id.
+
+    Rows that share an id stand or fall together, and equal rows stay once. A
+    bitmap of the ids in question lets all other rows pass without a shuffle.
+    """
+    docs = docs.select(*COLUMNS)
+    of_id = ngram_join.jaccard_components(docs).groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.max(F.col("component_id") < F.col("doc_id")).alias("gone")
+    )
+    asked = of_id.where("doc_id IS NOT NULL AND (gone OR rows > 1)").select("doc_id", "gone")
+    asked = Scratch(spark, "near_duplicates").write(asked, "asked")
+    marked = bitmap(asked.select(F.xxhash64("doc_id").alias("hash")))
+    hashed = docs.withColumn("_hash", F.xxhash64("doc_id"))
+    passed = hashed.mapInArrow(_rows(marked, False), hashed.schema)
+    held = hashed.mapInArrow(_rows(marked, True), hashed.schema)
+    held = held.join(asked.where("gone"), "doc_id", "left_anti").dropDuplicates(COLUMNS)
+    return passed.select(*COLUMNS).union(held.select(*COLUMNS))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked in their texts and lengths counted anew."""
+    found = secret_scan.scan(docs.select(*COLUMNS))
+    clean = found.select("doc_id", secret_scan.masked(found).alias("text"), "lang", "source", "n_chars")
+    changed = F.coalesce(F.length("text").cast("long"), F.col("n_chars"))
+    return clean.withColumn("n_chars", changed).select(*COLUMNS)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mixed_documents(docs.select(*COLUMNS))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in a sequence."""
+    return packing.pack(docs)
 
 
 STAGES = [
-    ("ngram_join", one_of_each_group),
+    ("language_id", language),
+    ("ngram_join", near_duplicates),
+    ("secret_scan", secrets),
+    ("mixing", mixture),
+    ("best_fit_packing", sequences),
 ]
+# The first stage trains a model, which SQL cannot express.
 ORACLE_SQL = None
 
 
