@@ -5,7 +5,7 @@ half-edges; a lone half-edge is a one-sided link, which only its source knows.
 """
 
 from .build import edges_from_shared_key, generate_graph, nodes_of, normalize_edges
-from .changes import affected_nodes, apply_changes, demo_changes
+from .changes import affected_nodes, apply_changes, check_changes, demo_changes
 from .coloring import Coloring, color_graph, color_histogram, coloring_rounds
 from .degree import degree_stats, degrees
 from .recolor import Recoloring, recolor, recolor_stepwise
@@ -16,6 +16,7 @@ __all__ = [
     "Recoloring",
     "affected_nodes",
     "apply_changes",
+    "check_changes",
     "color_graph",
     "color_histogram",
     "coloring_rounds",

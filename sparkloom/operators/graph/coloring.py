@@ -11,8 +11,10 @@ another.
 Edges are written once, bucketed by source, so a round moves only per-node state
 and the messages, which combine before their shuffle. A node whose edges are too
 many for one task is spread over several slots of the bucketing. Each round's
-state is written to the shared folder, and edges between finished nodes are
-dropped as the rounds go on.
+state is written to the shared folder, its counts are taken on the way, and edges
+between finished nodes are dropped as the rounds go on. The neighbour that comes
+first always decides, so the rounds end by themselves; in id order they are as
+many as the longest path of ascending ids needs, in hash order far fewer.
 """
 
 from __future__ import annotations
@@ -20,16 +22,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ...functions.colors import SMALLEST_FREE, smallest_free_color
 from ...scratch import Scratch
-from .slots import SLOT_EDGES, every_slot_sql, hub_limit, hub_slots, slot_of_edges
+from .slots import SLOT_EDGES, every_slot_sql, hub_slots, slot_of_edges
 from .validate import UNCOLORED
 
-# Fixed value: the most rounds a run may take.
-MAX_ROUNDS = 500
+# Multiplier and prime modulus of the order by hash.
+HASH_FACTOR, HASH_MODULUS = 469_762_049, 2_147_483_647
 
 # Half-edges per bucket of the written edge table.
 BUCKET_EDGES = 4_000_000
@@ -73,7 +75,7 @@ class _Edges:
     def store(self, edges: DataFrame, degrees: DataFrame, total: int, largest: int) -> None:
         """Write ``edges``; ``degrees(id, degree)`` covers their sources."""
         previous, self.version = self.version, self.version + 1
-        limit = hub_limit(total, self.slot_edges)
+        limit = self.slot_edges
         self.total = total
         self.keys = ["src"]
         self.heavy = None
@@ -112,7 +114,19 @@ class _Edges:
         self.scratch.drop_table(f"edges{self.version}")
 
 
-def _round(active: DataFrame, edges: _Edges) -> DataFrame:
+def hash_order(id: str) -> str:
+    """SQL for a node's place in the order by hash; ties go by id."""
+    return f"(({id}) % {HASH_MODULUS} * {HASH_FACTOR} % {HASH_MODULUS})"
+
+
+# Whether the first end of an edge goes before the second.
+PRIORITY = {
+    "id": "e.src < e.dst",
+    "hash": f"struct({hash_order('e.src')}, e.src) < struct({hash_order('e.dst')}, e.dst)",
+}
+
+
+def _round(active: DataFrame, edges: _Edges, priority: str = "id") -> DataFrame:
     """State of the active nodes after one round: coloured, or with more colours in use.
 
     One SQL text, since planning is most of the cost of a round over little data.
@@ -121,7 +135,7 @@ def _round(active: DataFrame, edges: _Edges) -> DataFrame:
         WITH proposing AS (
           SELECT id, degree, used, {SMALLEST_FREE} AS proposal FROM {{active}}
         ),
-        heard AS ({edges.heard_from("proposing", "proposal", "e.src < e.dst")}),
+        heard AS ({edges.heard_from("proposing", "proposal", PRIORITY[priority])}),
         decided AS (
           SELECT p.id, degree, used,
                  CASE WHEN NOT coalesce(array_contains(received, proposal), false)
@@ -146,13 +160,15 @@ def color_graph(
     slot_edges: int = SLOT_EDGES,
     compact_edges: int = COMPACT_EDGES,
     stored: bool = False,
+    priority: str = "id",
 ) -> Coloring:
     """Colour the uncoloured nodes of ``nodes(id, color)``; coloured ones stay as they are.
 
     ``edges`` are distinct half-edges. With ``k_max`` the run fails as soon as
-    an uncoloured node has no free colour below it. The round limit defaults to
-    twice the number of nodes, at most 500; a long path in id order needs more.
-    On failure the undecided nodes keep a null colour and ``best_k`` is -1.
+    an uncoloured node has no free colour below it, and with ``max_rounds`` it
+    stops there; without them it runs until every node is coloured. On failure
+    ``success`` is false, undecided nodes keep a null colour and ``best_k`` is -1.
+    ``priority`` is ``id`` or ``hash``: whose proposal wins among neighbours.
     ``stored`` says that ``edges`` is a plain read of files; otherwise it is
     written once first, as it is read more than once.
     """
@@ -168,7 +184,6 @@ def color_graph(
         "given",
     )
     totals = given.agg(F.count(F.lit(1)).alias("n"), F.count("color").alias("colored")).first()
-    limit = min(2 * totals["n"], MAX_ROUNDS) if max_rounds is None else max_rounds
     todo = given.filter(F.col("color").isNull()).select("id")
     fixed = given.filter(F.col("color").isNotNull())
 
@@ -191,7 +206,8 @@ def color_graph(
         own = reaching
         start = start.withColumn("used", none)
     degree = own.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    state = scratch.write(
+    state, facts = _written(
+        scratch,
         start.join(degree, "id", "left").select(
             "id",
             F.coalesce("degree", F.lit(0)).cast("long").alias("degree"),
@@ -199,18 +215,22 @@ def color_graph(
             F.lit(None).cast("int").alias("color"),
         ),
         "rounds/round=0",
+        k_max,
     )
 
     live = _Edges(scratch, slot_edges)
-    facts = _facts(state, k_max)
     live.store(reaching, state, facts["degree_sum"], facts["degree_max"])
     last_stored = facts["open"]
     done = 0
-    while facts["open"] and not facts["fails"] and done < limit:
+    while facts["open"] and not facts["fails"] and (max_rounds is None or done < max_rounds):
         done += 1
         active = state.filter(F.col("color").isNull())
-        state = scratch.write(_round(active, live), f"rounds/round={done}")
-        facts = _facts(state, k_max)
+        step = f"rounds/round={done}"
+        try:
+            state, facts = _written(scratch, _round(active, live, priority), step, k_max)
+        except Exception:
+            live.close()
+            raise
         if live.total > compact_edges and 0 < facts["open"] <= last_stored / 2:
             open_ids = state.filter(F.col("color").isNull()).select("id")
             left = live.table.select("src", "dst")
@@ -246,17 +266,21 @@ def color_graph(
     )
 
 
-def _facts(state: DataFrame, k_max: int | None) -> dict:
-    """What the driver needs to know after a round: a few counts."""
+def _written(
+    scratch: Scratch, state: DataFrame, step: str, k_max: int | None
+) -> tuple[DataFrame, dict]:
+    """The written state of a round, and a few counts taken while it is written."""
     is_open = F.col("color").isNull()
     stuck = F.lit(False) if k_max is None else smallest_free_color("used") >= k_max
-    row = state.agg(
+    counts = Observation()
+    seen = state.observe(
+        counts,
         F.count_if(is_open).alias("open"),
         F.count_if(is_open & stuck).alias("fails"),
         F.coalesce(F.sum("degree"), F.lit(0)).alias("degree_sum"),
         F.coalesce(F.max("degree"), F.lit(0)).alias("degree_max"),
-    ).first()
-    return row.asDict()
+    )
+    return scratch.write(seen, step), counts.get
 
 
 def coloring_rounds(coloring: Coloring) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 # The type names profiled as numbers.
 NUMERIC_TYPES = ("integer", "long", "float", "double")
 
-# Ranges a column is cut into in each pass for an exact percentile.
-CUTS = 1_000
+# Values and accuracy of the sketch that each pass for an exact percentile takes.
+GRID = 257
+SKETCH = 10_000
 
 
 def _columns_of(df: DataFrame, kinds: Sequence[str], columns: Sequence[str] | None) -> list[str]:
@@ -109,70 +110,90 @@ def exact_percentiles(
 ) -> dict[tuple[str, float], float | None]:
     """The value of rank ``ceil(p * n)`` for every column and ``p``; nulls and NaN left out.
 
-    Each pass counts the rows in ``CUTS`` equal ranges between the bounds known
-    so far and goes on inside the range that holds the rank, until that range is
-    a single value. The driver sees at most ``CUTS`` counts per percentile and
-    pass, and no task has to hold a column's values.
+    Each pass sketches the rows between the bounds known so far and counts those
+    below; the sketch's values around the rank are the next bounds, until they are
+    one value that holds the rank. A pass leaves a fiftieth of the rows or less,
+    however the values are spread. The driver sees ``GRID`` values per search.
     """
     value = {name: _quoted(name).cast("double") for name in columns}
     kept = {name: F.when(~F.isnan(x), x) for name, x in value.items()}
-    sizes = df.agg(
-        *[F.count(x).alias(f"n{i}") for i, x in enumerate(kept.values())],
-        *[F.min(x).alias(f"low{i}") for i, x in enumerate(kept.values())],
-        *[F.max(x).alias(f"high{i}") for i, x in enumerate(kept.values())],
-    ).first()
     found: dict[tuple[str, float], float | None] = {}
-    # (column, low, high) -> [(p, rank from low), ...]; equal bounds share a count.
-    searching: dict[tuple, list] = {}
-    for i, name in enumerate(columns):
-        n, low, high = sizes[f"n{i}"], sizes[f"low{i}"], sizes[f"high{i}"]
-        searching[name, low, high] = [(p, max(1, ceil(p * n))) for p in percentiles]
+    # (column, p) -> bounds, both None at first, and rows below the lower one.
+    searching = {(name, p): (None, None, 1) for name in columns for p in percentiles}
+    sizes: dict[str, int] = {}
     while searching:
-        for name, low, high in [key for key in searching if key[1] is None or key[1] == key[2]]:
-            for p, _ in searching.pop((name, low, high)):
-                found[name, p] = low
-        if not searching:
-            break
-        counts = _count_ranges(df, kept, list(searching))
-        narrowed: dict[tuple, list] = {}
-        for (name, _, _), ranges, ranks in zip(searching, counts, searching.values()):
-            for p, rank in ranks:
-                for size, low, high in ranges:
-                    if rank <= size:
-                        narrowed.setdefault((name, low, high), []).append((p, rank))
-                        break
-                    rank -= size
+        facts = _sketch_ranges(df, kept, searching)
+        narrowed = {}
+        for (name, p), (low, high, margin) in searching.items():
+            below, inside, grid = facts[name, low, high]
+            if low is None:
+                sizes[name] = inside
+            if not inside:
+                found[name, p] = None
+                continue
+            rank = max(1, ceil(p * sizes[name])) - below
+            if not 1 <= rank <= inside:
+                # The sketch was off: search everything again with wider bounds.
+                narrowed[name, p] = (None, None, 2 * margin)
+            elif grid[0] == grid[-1]:
+                found[name, p] = grid[0]
+            else:
+                at = (rank - 1) * (GRID - 1) / max(inside - 1, 1)
+                first = max(0, floor(at) - margin)
+                last = min(GRID - 1, ceil(at) + margin)
+                narrowed[name, p] = (grid[first], grid[last], margin)
         searching = narrowed
     return found
 
 
-def _count_ranges(df: DataFrame, kept: dict[str, Column], bounds: list[tuple]) -> list[list]:
-    """Per (column, low, high): (rows, smallest, largest) of each filled range, ascending."""
-    hits = []
-    for i, (name, low, high) in enumerate(bounds):
+def _sketch_ranges(df: DataFrame, kept: dict[str, Column], searching: dict) -> dict:
+    """Per column and bounds: rows below, rows inside, and values at even ranks inside."""
+    ranges = list(dict.fromkeys((name, low, high) for (name, _), (low, high, _) in searching.items()))
+    shares = [i / (GRID - 1) for i in range(GRID)]
+    aggregates = []
+    for i, (name, low, high) in enumerate(ranges):
         x = kept[name]
-        # Halves keep the width finite for bounds of opposite sign.
-        share = (x / 2 - low / 2) / (high / 2 - low / 2)
-        cut = (
-            F.when(x == F.lit(low), -1)
-            .when(x == F.lit(high), CUTS)
-            .otherwise(F.least(F.floor(share * CUTS), F.lit(CUTS - 1)))
+        below = F.lit(False) if low is None else x < F.lit(low)
+        inside = x if low is None else F.when(x.between(F.lit(low), F.lit(high)), x)
+        aggregates += [
+            F.count_if(below).alias(f"below{i}"),
+            F.count(inside).alias(f"inside{i}"),
+            F.percentile_approx(inside, shares, SKETCH).alias(f"grid{i}"),
+        ]
+    row = df.agg(*aggregates).first()
+    return {r: (row[f"below{i}"], row[f"inside{i}"], row[f"grid{i}"]) for i, r in enumerate(ranges)}
+
+
+def percentile_ranks(
+    df: DataFrame,
+    columns: Sequence[str],
+    percentiles: Sequence[float] = (0.25, 0.5, 0.75),
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """Per column and percentile: whether the sketch's value has a rank within ``rows / accuracy``.
+
+    One pass for the sketches and one to count the rows up to their values.
+    """
+    profiled = profile_numeric(df, columns, percentiles, accuracy).collect()
+    names = [f"p{p * 100:g}" for p in percentiles]
+    cases = [(r["column"], p, r[n]) for r in profiled for p, n in zip(percentiles, names, strict=True)]
+    aggregates = []
+    for i, (column, _, v) in enumerate(cases):
+        x = _quoted(column).cast("double")
+        aggregates += [
+            F.count(x).alias(f"n{i}"),
+            F.count_if(x < F.lit(v)).alias(f"low{i}"),
+            F.count_if(x <= F.lit(v)).alias(f"high{i}"),
+        ]
+    structs = []
+    for i, (column, p, _) in enumerate(cases):
+        n, low, high = (F.col(f"{k}{i}") for k in ("n", "low", "high"))
+        slack = F.ceil(n / accuracy)
+        near = (low + 1 - slack <= F.ceil(F.lit(p) * n)) & (F.ceil(F.lit(p) * n) <= high + slack)
+        structs.append(
+            F.struct(F.lit(column).alias("column"), F.lit(p).alias("percentile"), near.alias("within"))
         )
-        inside = x.between(F.lit(low), F.lit(high))
-        hit = F.struct(F.lit(i).alias("search"), cut.cast("int").alias("cut"), x.alias("x"))
-        hits.append(F.when(inside, hit))
-    rows = (
-        df.select(F.inline(F.array(*hits)))
-        .filter(F.col("search").isNotNull())
-        .groupBy("search", "cut")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-        .orderBy("search", "cut")
-        .collect()
-    )
-    counts: list[list] = [[] for _ in bounds]
-    for row in rows:
-        counts[row["search"]].append((row["n"], row["low"], row["high"]))
-    return counts
+    return _rows_of(df.agg(*aggregates), structs)
 
 
 def profile_top_values(

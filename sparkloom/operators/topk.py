@@ -29,9 +29,9 @@ def _longest(
     keep: Sequence[str],
 ) -> DataFrame:
     names = list(dict.fromkeys([*keep, by, rank_by, feature, score]))
-    candidates = df.na.drop("any", subset=[by, score, rank_by, feature]).filter(
-        F.col(feature) > F.lit(min_feature)
-    )
+    candidates = df.filter(F.col(feature) > F.lit(min_feature))
+    for name in (by, score, rank_by):
+        candidates = candidates.filter(F.col(name).isNotNull())
     return top_k(candidates.select(*names), [F.desc(rank_by)], k, [n for n in names if n != rank_by])
 
 

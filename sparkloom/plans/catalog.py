@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType
 from ..functions import by_bounds, equal_width
 from ..operators import cohort, collab, consistency, graph, outlier, profile, quality, sweetspot, topk
 from ..scratch import Scratch
+from ..sources.graph_files import read_changes, read_graph, write_coloring, write_graph
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,8 +83,15 @@ def _undirected(edges: DataFrame) -> DataFrame:
     return edges.filter("src < dst").select(F.col("src").alias("u"), F.col("dst").alias("v"))
 
 
+def _colored(nodes: DataFrame, edges: DataFrame, **options) -> graph.Coloring:
+    run = graph.color_graph(nodes, edges, **options)
+    if not run.success:
+        raise RuntimeError("the colouring did not finish")
+    return run
+
+
 def _color_count(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    run = graph.color_graph(nodes, edges)
+    run = _colored(nodes, edges)
     return run.colors.agg(
         F.lit(run.best_k).alias("best_k"), F.count(F.lit(1)).alias("node_count")
     )
@@ -119,6 +127,48 @@ def _recolor(spark: SparkSession, sf: str) -> DataFrame:
     return done.nodes.select("id", "color")
 
 
+def _recolor_fixed_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Recolouring with no new colours; too few keep the old colours."""
+    nodes, edges, changes = _graph_and_log(spark, sf)
+    first = graph.color_graph(nodes, edges, stored=True)
+    done = graph.recolor(first.colors, edges, changes, first.best_k)
+    return done.nodes.select("id", F.when(F.col("color") >= 0, F.col("color")).alias("color"))
+
+
+def _graph_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The part graph with striped colours, written as JSON and read again."""
+    path = f"{Scratch(spark, 'graph_json').path}/graph"
+    write_graph(fx.striped_colors(spark, sf), fx.part_edges(spark, sf), path)
+    nodes, edges = read_graph(spark, path)
+    null = F.lit(None).cast("bigint")
+    return edges.select(
+        F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(None).cast("int").alias("color")
+    ).unionByName(nodes.select(F.col("id").alias("a"), null.alias("b"), "color"))
+
+
+def _change_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log, written as JSON lines and read again."""
+    path = f"{Scratch(spark, 'change_log').path}/log"
+    log = fx.part_changes(spark, sf)
+    log.select(
+        "seq", "type", F.col("a").alias("nodeIdA"), F.col("b").alias("nodeIdB"), "neighbors"
+    ).write.json(path)
+    again = read_changes(spark, path)
+    return again.withColumn("neighbors", F.array_join("neighbors", ","))
+
+
+def _coloring_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Striped colours, written as a result and read again with their summary."""
+    path = f"{Scratch(spark, 'coloring_json').path}/result"
+    write_coloring(fx.striped_colors(spark, sf), 3, path)
+    nodes = spark.read.schema("nodeId bigint, color int").json(f"{path}/assignments")
+    summary = spark.read.schema("chromaticNumber int, nodeCount bigint").json(f"{path}/summary")
+    per_color = nodes.groupBy("color").agg(F.count("*").alias("node_count"))
+    return per_color.unionByName(
+        summary.select(F.col("chromaticNumber").alias("color"), F.col("nodeCount").alias("node_count"))
+    )
+
+
 def _demo_changes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     log = graph.demo_changes(nodes, edges)
     return log.withColumn("neighbors", F.array_join("neighbors", ","))
@@ -143,6 +193,9 @@ def queries() -> dict[str, Query]:
         ),
         "profile_numeric": on_items(_numeric),
         "profile_numeric_spread": on_items(_spread),
+        "profile_percentile_rank": on_items(
+            lambda d: profile.percentile_ranks(d, ["score", "duration", "album"])
+        ),
         "profile_top_values": on_items(profile.profile_top_values),
         "profile_boolean": on_items(lambda d: rounded(profile.profile_boolean(d))),
         # buckets
@@ -209,13 +262,14 @@ def queries() -> dict[str, Query]:
         "graph_half_edges": on_graph(lambda n, e: e),
         "graph_degrees": on_graph(graph.degrees),
         "graph_degree_stats": on_graph(lambda n, e: rounded(graph.degree_stats(n, e))),
-        "graph_color": on_graph(lambda n, e: graph.color_graph(n, e).colors),
+        "graph_color": on_graph(lambda n, e: _colored(n, e).colors),
+        "graph_color_hash": on_graph(lambda n, e: _colored(n, e, priority="hash").colors),
         "graph_color_count": on_graph(_color_count),
         "graph_color_histogram": on_graph(
-            lambda n, e: graph.color_histogram(graph.color_graph(n, e).colors)
+            lambda n, e: graph.color_histogram(_colored(n, e).colors)
         ),
         "graph_color_rounds": on_graph(
-            lambda n, e: graph.coloring_rounds(graph.color_graph(n, e))
+            lambda n, e: graph.coloring_rounds(_colored(n, e))
         ),
         "graph_validate": lambda spark, sf: graph.validate(
             fx.striped_colors(spark, sf), fx.part_edges(spark, sf)
@@ -226,6 +280,10 @@ def queries() -> dict[str, Query]:
         "graph_apply_changes": _apply_changes,
         "graph_affected": _affected,
         "graph_recolor": _recolor,
+        "graph_recolor_fixed_k": _recolor_fixed_k,
+        "graph_json_round_trip": _graph_json,
+        "change_log_round_trip": _change_log,
+        "coloring_round_trip": _coloring_json,
         "graph_demo_changes": on_graph(_demo_changes),
         "graph_generate": _generate,
     }

@@ -29,7 +29,7 @@ def run(
     spark: SparkSession,
     *,
     input_path: str | None = None,
-    json_lines: bool = False,
+    json_lines: bool | None = None,
     generate: int | None = None,
     max_degree: int | None = None,
     seed: int = 123,
@@ -39,7 +39,7 @@ def run(
     validation: bool = False,
     incremental: bool = False,
     changes_path: str | None = None,
-    stepwise: bool = True,
+    stepwise: bool = False,
     metrics_prefix: str | None = None,
     output_graph: str | None = None,
     output_result: str | None = None,
@@ -49,8 +49,9 @@ def run(
     The graph is read from ``input_path`` or generated with ``generate`` nodes
     of at most ``max_degree``. ``initial_colors`` is the number of colours the
     colouring may use. ``incremental`` applies the change log (or the
-    demonstration log) to the coloured graph, change by change unless
-    ``stepwise`` is false. ``metrics_prefix`` writes the metrics as JSON,
+    demonstration log) to the coloured graph, at once or, with ``stepwise``,
+    change by change. ``validation`` checks the colours there are, whether found
+    here or read. A colouring that fails is an error once its metrics are written. ``metrics_prefix`` writes the metrics as JSON,
     ``output_graph`` the graph and ``output_result`` the colouring.
     """
     if incremental and not coloring:
@@ -92,12 +93,13 @@ def run(
             F.coalesce(F.sum("tie_conflicts"), F.lit(0)).alias("tieConflicts"),
         )
         record("coloring", rounds, started)
-        if done.success:
-            result.nodes = done.colors
-    if validation and result.success:
+        if not done.success:
+            raise RuntimeError(f"the graph cannot be coloured with {initial_colors} colours this way")
+        result.nodes = done.colors
+    if validation:
         started = time.perf_counter()
         record("validation", graph.validate(result.nodes, edges), started)
-    if incremental and result.success:
+    if incremental:
         if changes_path:
             changes = read_changes(spark, changes_path)
         else:
@@ -115,6 +117,6 @@ def run(
             record("incremental", graph.validate(result.nodes, result.edges), started)
     if output_graph:
         write_graph(result.nodes, result.edges, output_graph)
-    if output_result and result.success:
+    if output_result and coloring:
         write_coloring(result.nodes, result.best_k, output_result)
     return result

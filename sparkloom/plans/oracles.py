@@ -204,7 +204,11 @@ degree AS MATERIALIZED (
 )"""
 
 
-def rounds_sql(name: str, start: str, edges: str) -> str:
+def _by_hash(x: str) -> str:
+    return f"({x}.id % 2147483647 * 469762049 % 2147483647)"
+
+
+def rounds_sql(name: str, start: str, edges: str, before: str = "x.id < y.id") -> str:
     """A recursive query that runs the colouring rounds from ``start(id, c)``.
 
     Each step holds the whole state ``(r, id, c)``; ``c = -1`` is uncoloured.
@@ -222,7 +226,7 @@ def rounds_sql(name: str, start: str, edges: str) -> str:
     FROM ({_proposals(name, edges)}) x
     JOIN {edges} e ON e.src = x.id
     JOIN ({_proposals(name, edges)}) y ON y.id = e.dst
-    WHERE x.id < y.id AND x.p = y.p
+    WHERE {before} AND x.p = y.p
   ) lost ON lost.id = cur.id
   WHERE EXISTS (SELECT 1 FROM {name} o WHERE o.c = -1)
 )"""
@@ -245,6 +249,17 @@ COLORED = (
 colors AS (SELECT id, CAST(c AS INT) AS color FROM st WHERE r = (SELECT max(r) FROM st))"""
 )
 
+HASH_COLORED = (
+    GRAPH
+    + ", blank AS (SELECT id, -1 AS c FROM nodes),"
+    + rounds_sql(
+        "st", "blank", "edges",
+        f"({_by_hash('x')} < {_by_hash('y')} OR ({_by_hash('x')} = {_by_hash('y')} AND x.id < y.id))",
+    )
+    + """,
+colors AS (SELECT id, CAST(c AS INT) AS color FROM st WHERE r = (SELECT max(r) FROM st))"""
+)
+
 CHANGES = f"""
 log AS MATERIALIZED (
   SELECT seq,
@@ -584,6 +599,30 @@ def oracle_sql() -> dict[str, str]:
             ), {rounds_sql("st2", "reset", "edges2")}
             SELECT id, CAST(c AS INT) AS color FROM st2
             WHERE r = (SELECT max(r) FROM st2)""",
+        "graph_recolor_fixed_k": f"""WITH RECURSIVE {COLORED}, {CHANGES},
+            reset AS MATERIALIZED (
+              SELECT id, CASE WHEN id IN (SELECT id FROM affected) THEN -1
+                              ELSE coalesce(color, -1) END AS c
+              FROM nodes2 LEFT JOIN colors USING (id)
+            ), {rounds_sql("st2", "reset", "edges2")},
+            again AS (SELECT id, CAST(c AS INT) AS color FROM st2 WHERE r = (SELECT max(r) FROM st2))
+            SELECT n.id, CASE WHEN (SELECT max(color) FROM again) <= (SELECT max(color) FROM colors)
+                              THEN a.color
+                              WHEN n.id IN (SELECT id FROM deaths) THEN NULL
+                              ELSE c.color END AS color
+            FROM nodes2 n LEFT JOIN again a USING (id) LEFT JOIN colors c USING (id)""",
+        "graph_color_hash": f"WITH RECURSIVE {HASH_COLORED} SELECT id, color FROM colors",
+        "graph_json_round_trip": f"""WITH {GRAPH}
+            SELECT src AS a, dst AS b, CAST(NULL AS INT) AS color FROM edges
+            UNION ALL SELECT id, NULL, CAST(id % 3 AS INT) FROM nodes""",
+        "change_log_round_trip": f"""WITH {GRAPH}, {CHANGES}
+            SELECT seq, type, a, b, array_to_string(neighbors, ',') AS neighbors FROM log""",
+        "coloring_round_trip": f"""WITH {GRAPH}
+            SELECT CAST(id % 3 AS INT) AS color, count(*) AS node_count FROM nodes GROUP BY 1
+            UNION ALL SELECT 3, count(*) FROM nodes""",
+        "profile_percentile_rank": """SELECT "column", percentile, true AS within
+            FROM (SELECT unnest(['score', 'duration', 'album']) AS "column"),
+                 (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE]) AS percentile)""",
         "graph_demo_changes": f"""WITH {GRAPH}, facts AS (
               SELECT max(id) AS top, bool_or(id = 5) AS has5,
                      (SELECT count(*) FROM edges WHERE src = 10 AND dst = 11) AS e1011,

@@ -5,33 +5,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.graph.changes import CHANGE_TYPES
-from ..operators.graph.slots import SLOT_EDGES, hub_limit, hub_slots, slot_of_edges
+from ..operators.graph.changes import check_changes
+from ..operators.graph.slots import SLOT_EDGES, hub_slots, slot_of_edges
 from ..operators.graph.validate import UNCOLORED
 
 NODE_SCHEMA = "id bigint, neighbors array<bigint>, color int"
 CHANGE_SCHEMA = "type string, nodeIdA bigint, nodeIdB bigint, neighbors array<bigint>"
 
 
+def _texts(spark: SparkSession, path: str, json_lines: bool | None, records: str) -> DataFrame:
+    """The file as texts of whole JSON values: its lines, or else whole files.
+
+    Lines are read in parallel. ``json_lines`` None looks whether every line that
+    is not blank begins and ends like a value in one of the brackets ``records``.
+    """
+    lines = spark.read.text(path).select(F.trim("value").alias("value")).filter("value <> ''")
+    if json_lines is None:
+        ends = {"{": "}", "[": "]"}
+        whole = F.lit(False)
+        for begin in records:
+            whole |= F.col("value").startswith(begin) & F.col("value").endswith(ends[begin])
+        json_lines = lines.filter(~whole).isEmpty()
+    return lines if json_lines else spark.read.text(path, wholetext=True)
+
+
+def _parsed(text: Column, schema: str) -> Column:
+    """Array of the records in a text that holds one record or one array of them, and no more."""
+    # Wrapped, so that anything after the first value is malformed.
+    wrapped = F.concat(F.lit('{"r":'), text, F.lit("}"))
+    options = {"mode": "FAILFAST"}
+    one = F.from_json(wrapped, f"struct<r: struct<{_ddl_fields(schema)}>>", options)["r"]
+    many = F.from_json(wrapped, f"struct<r: array<struct<{_ddl_fields(schema)}>>>", options)["r"]
+    return F.when(F.trim(text).startswith("{"), F.array(one)).otherwise(
+        F.coalesce(many, F.raise_error(F.lit("the text is not a JSON record or array")))
+    )
+
+
 def read_graph(
-    spark: SparkSession, path: str, *, json_lines: bool = False
+    spark: SparkSession, path: str, *, json_lines: bool | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Nodes and half-edges from records ``{id, neighbors, color}``.
 
-    The file is one JSON array, or one record per line with ``json_lines``,
-    which Spark reads in parallel. Self-loops and repeated neighbours are
-    dropped; a node may come in several records. Raises ``ValueError`` when
-    there is no node or the first records are malformed; later ones fail when
-    they are read.
+    Files hold one JSON array each, or one record per line, which Spark reads in
+    parallel; unless ``json_lines`` says which, the lines do. Every record is
+    read, or reading fails. Self-loops and repeated neighbours are dropped; a
+    node may come in several records. Raises ``ValueError`` when there is no node
+    or the first records are malformed; later ones fail when they are read.
     """
-    records = (
-        spark.read.schema(NODE_SCHEMA)
-        .option("multiLine", not json_lines)
-        .option("mode", "FAILFAST")
-        .json(path)
-        .filter(F.col("id").isNotNull())
-    )
     try:
+        records = _texts(spark, path, json_lines, "{[")
+        records = records.select(F.inline(_parsed(F.col("value"), NODE_SCHEMA)))
+        records = records.filter(F.col("id").isNotNull())
         empty = records.isEmpty()
     except Exception as error:
         raise ValueError(f"cannot read a graph from {path}") from error
@@ -47,49 +71,32 @@ def read_graph(
     return nodes, edges
 
 
-def _checked(value: Column, ok: Column, message: Column) -> Column:
-    return F.when(ok, value).otherwise(F.raise_error(message))
-
-
-def read_changes(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
+def read_changes(
+    spark: SparkSession, path: str, *, json_lines: bool | None = None
+) -> DataFrame:
     """A change log ``(seq, type, a, b, neighbors)``.
 
-    The file is one JSON array, whose order becomes ``seq``; with
-    ``json_lines`` each line is a record that carries its own ``seq``. Types
-    may be in any case. Reading fails on an unknown type, on a missing
-    ``nodeIdA``, on ``ADD_NODE`` without ``neighbors`` and on an edge change
-    without ``nodeIdB``.
+    One file holds a JSON array, whose order becomes ``seq``; or files hold a
+    record per line that carries its own ``seq``. Unless ``json_lines`` says
+    which, the lines do. Every change is read, or reading fails, by the rules of
+    :func:`sparkloom.operators.graph.check_changes`; so it does for an array in
+    several files, whose order is unknown.
     """
-    if json_lines:
-        parsed = (
-            spark.read.schema("seq bigint, " + CHANGE_SCHEMA).option("mode", "FAILFAST").json(path)
-        )
+    texts = _texts(spark, path, json_lines, "{")
+    schema = "seq bigint, " + CHANGE_SCHEMA
+    first = texts.limit(1).first()
+    if first and first["value"].lstrip().startswith("["):
+        if texts.limit(2).count() > 1:
+            raise ValueError(f"the order of the changes in {path} is unknown: several arrays")
+        parsed = texts.select(F.posexplode(_parsed(F.col("value"), CHANGE_SCHEMA)).alias("seq", "c"))
+        parsed = parsed.select("seq", "c.*")
     else:
-        document = spark.read.text(path, wholetext=True)
-        records = F.from_json("value", f"array<struct<{_ddl_fields(CHANGE_SCHEMA)}>>")
-        records = _checked(records, records.isNotNull(), F.lit("the change log is not a JSON array"))
-        parsed = document.select(F.posexplode(records).alias("seq", "c")).select("seq", "c.*")
-    kind = F.upper("type")
-    known = F.coalesce(kind.isin(*CHANGE_TYPES), F.lit(False))
-    edge = kind.isin("ADD_EDGE", "REMOVE_EDGE")
-    kind = _checked(kind, known, F.concat(F.lit("unknown change type: "), F.coalesce("type", F.lit("null"))))
-    second = _checked(
-        F.col("nodeIdB"),
-        ~(edge & F.col("nodeIdB").isNull()),
-        F.concat("type", F.lit(" needs nodeIdA and nodeIdB")),
-    )
-    listed = _checked(
-        F.col("neighbors"),
-        ~((F.upper("type") == "ADD_NODE") & F.col("neighbors").isNull()),
-        F.lit("ADD_NODE needs neighbors"),
-    )
-    first = _checked(F.col("nodeIdA"), F.col("nodeIdA").isNotNull(), F.lit("a change needs nodeIdA"))
-    return parsed.select(
-        F.col("seq").cast("bigint").alias("seq"),
-        kind.alias("type"),
-        first.alias("a"),
-        second.alias("b"),
-        listed.alias("neighbors"),
+        parsed = texts.select(F.inline(_parsed(F.col("value"), schema)))
+    return check_changes(
+        parsed.select(
+            F.col("seq").cast("bigint").alias("seq"), "type", F.col("nodeIdA").alias("a"),
+            F.col("nodeIdB").alias("b"), "neighbors",
+        )
     )
 
 
@@ -107,11 +114,10 @@ def write_graph(
     puts them together again.
     """
     degree = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    size = degree.agg(F.sum("degree").alias("total"), F.max("degree").alias("largest")).first()
-    limit = hub_limit(size["total"] or 0, slot_edges)
+    largest = degree.agg(F.max("degree")).first()[0]
     placed = edges.select("src", "dst", F.lit(0).alias("slot"))
-    if (size["largest"] or 0) > limit:
-        placed = slot_of_edges(edges, hub_slots(degree, limit))
+    if (largest or 0) > slot_edges:
+        placed = slot_of_edges(edges, hub_slots(degree, slot_edges))
     lists = (
         placed.groupBy(F.col("src").alias("id"), "slot")
         .agg(F.sort_array(F.collect_set("dst")).alias("neighbors"))

@@ -112,7 +112,7 @@ def test_graph_round_trip(spark, tmp_path):
     for name, slot_edges in (("whole", 1000), ("split", 1)):
         path = str(tmp_path / name)
         graph_files.write_graph(nodes, edges, path, slot_edges=slot_edges)
-        again_nodes, again_edges = graph_files.read_graph(spark, path, json_lines=True)
+        again_nodes, again_edges = graph_files.read_graph(spark, path)
         assert {tuple(r) for r in again_nodes.collect()} == want_nodes
         assert {tuple(r) for r in again_edges.collect()} == want_edges
     assert spark.read.json(str(tmp_path / "split")).count() >= 4
@@ -146,7 +146,7 @@ def test_read_changes(spark, tmp_path):
     assert [tuple(r) for r in got.orderBy("seq").collect()] == want
     lines = tmp_path / "log.jsonl"
     lines.write_text("\n".join(json.dumps({"seq": i, **c}) for i, c in enumerate(log)))
-    got = graph_files.read_changes(spark, str(lines), json_lines=True)
+    got = graph_files.read_changes(spark, str(lines))
     assert [tuple(r) for r in got.orderBy("seq").collect()] == want
 
 
@@ -167,6 +167,27 @@ def test_bad_changes(spark, tmp_path, change):
         log.collect()
 
 
+def test_nothing_is_read_in_part(spark, tmp_path):
+    twice = tmp_path / "twice.json"
+    twice.write_text('[{"id": 1}]\n[{"id": 2}]')
+    nodes, _ = graph_files.read_graph(spark, str(twice))
+    assert {r["id"] for r in nodes.collect()} == {1, 2}
+    trailing = tmp_path / "trailing.json"
+    trailing.write_text('[\n{"id": 1}\n]\n[{"id": 2}]')
+    with pytest.raises(ValueError):
+        graph_files.read_graph(spark, str(trailing))
+    with pytest.raises(Exception):
+        change = '[{"type": "REMOVE_NODE", "nodeIdA": 1}]'
+        trailing.write_text(change + "\n" + change)
+        graph_files.read_changes(spark, str(trailing)).collect()
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    for i in range(2):
+        (folder / f"{i}.json").write_text(change)
+    with pytest.raises(ValueError):
+        graph_files.read_changes(spark, str(folder))
+
+
 def test_graph_job(spark, tmp_path):
     log = [{"type": "ADD_NODE", "nodeIdA": 500, "neighbors": [1, 2]}]
     prefix, out = str(tmp_path / "m"), str(tmp_path / "graph")
@@ -189,7 +210,7 @@ def test_graph_job(spark, tmp_path):
     assert spark.read.json(f"{prefix}_coloring_optimized.json").first()["bestK"] == done.best_k
     assert spark.read.json(f"{prefix}_validation.json").first()["is_valid"]
     assert spark.read.json(f"{prefix}_incremental_validation.json").first()["conflict_count"] == 0
-    nodes, edges = graph_files.read_graph(spark, out, json_lines=True)
+    nodes, edges = graph_files.read_graph(spark, out)
     assert nodes.count() == 61 and edges.filter("src = 500").count() == 2
     summary = spark.read.json(str(tmp_path / "result" / "summary")).first()
     assert (summary["chromaticNumber"], summary["nodeCount"]) == (done.best_k, 61)
@@ -204,6 +225,17 @@ def test_graph_job_options(spark):
         graph_job.run(spark, input_path="/x/g", output_graph="/x/g/", coloring=True)
 
 
+def test_stream_fails_on_a_bad_record(spark, tmp_path):
+    logs, state, marks = (str(tmp_path / d) for d in ("logs", "state", "marks"))
+    spark.createDataFrame([(0, 0)], "id long, color int").write.parquet(f"{state}/version=0/nodes")
+    spark.createDataFrame([], "src long, dst long").write.parquet(f"{state}/version=0/edges")
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "a.json").write_text(json.dumps({"seq": 0, "type": "PAINT", "a": 0}))
+    query = stream_changes(spark, logs, state, 3, checkpoint_dir=marks)
+    with pytest.raises(PySparkException):
+        query.awaitTermination(120)
+
+
 def test_stream_changes(spark, tmp_path):
     logs, state, marks = (str(tmp_path / d) for d in ("logs", "state", "marks"))
     first = [(0, 0), (1, 1), (2, 0)]

@@ -112,6 +112,16 @@ def test_round_limit(spark):
     assert table[1] == (10, 28, 9, 1)
 
 
+def test_hash_order_needs_fewer_rounds(spark):
+    edges = both_ways([(i, i + 1) for i in range(39)])
+    blank = {i: None for i in range(40)}
+    by_id = graph.color_graph(*frames(spark, blank, edges))
+    by_hash = graph.color_graph(*frames(spark, blank, edges), priority="hash")
+    assert by_id.success and by_hash.success and by_hash.rounds < by_id.rounds / 2
+    colors = as_dict(by_hash.colors)
+    assert all(colors[a] != colors[b] for a, b in edges)
+
+
 def test_graphs_without_edges(spark):
     nodes, edges = frames(spark, {1: None, 2: None}, {(1, 2)})
     run = graph.color_graph(nodes, edges.limit(0))

@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, duck_result, spark_result
+from sparkloom.plans import catalog, oracles
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")

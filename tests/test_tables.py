@@ -96,6 +96,18 @@ def test_percentiles_stay_within_their_tolerance(spark):
         assert abs(got[name] - share * n) <= n / 1000
 
 
+def test_exact_percentiles_take_few_passes(spark, monkeypatch):
+    passes = []
+    real = profile._sketch_ranges
+    monkeypatch.setattr(profile, "_sketch_ranges", lambda *a: passes.append(1) or real(*a))
+    df = spark.range(2000).selectExpr("exp(id / 4) AS x")
+    got = profile.exact_percentiles(df, ["x"], [0.25, 0.5, 0.999])
+    import math
+
+    want = {("x", p): math.exp((math.ceil(p * 2000) - 1) / 4) for p in (0.25, 0.5, 0.999)}
+    assert got == pytest.approx(want) and len(passes) <= 7
+
+
 def test_exact_percentiles(spark):
     rng = random.Random(1)
     spread = [rng.choice([-1, 1]) * 10 ** rng.uniform(-8, 9) for _ in range(700)]
