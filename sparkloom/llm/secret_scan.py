@@ -25,6 +25,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 UNIT = 1000  # scores are whole thousandths
 LEAST_PER_SIGN = 400  # a run's mean score from which it counts as random
 LEAST_TOTAL = 12_000
+SMOOTHING = 20  # pairs that a character's row is taken to have from the model's whole
 DRAWN = 3000  # random strings drawn for the sample
 SAMPLED = 2000  # documents, as an expected number, that ordinary identifiers are taken from
 MASK = "[SECRET]"
@@ -93,7 +94,9 @@ def labelled_samples(docs: DataFrame, id_col: str, text_col: str, documents: int
     u = unit(F.col("id"), 10)
     values = F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))
     values = F.filter(values, lambda v: F.length(v) >= 8)
+    # Runs long enough to be scanned may be secrets themselves, so they teach nothing here.
     words = F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_-]{4,}"), F.lit(0))
+    words = F.filter(words, lambda w: F.length(w) < 20)
     secret = rows.where(F.col("hit") & (u < share[True])).select(F.explode(values).alias("token"))
     plain = rows.where(~F.col("hit") & (u < share[False])).select(F.explode(words).alias("token"))
     return secret.withColumn("secret", F.lit(True)).union(
@@ -111,8 +114,8 @@ def train(samples: DataFrame) -> list[int]:
     """Log-likelihood ratio, in thousandths, of each pair of neighbouring characters.
 
     ``samples`` has a string ``token`` and a boolean ``secret``; null tokens and
-    labels teach nothing. Every pair counts once more than seen, so unseen pairs
-    have a finite ratio, and without samples all ratios are 0. The counts are one
+    labels teach nothing. Rows are smoothed, so unseen pairs have a finite ratio,
+    and without samples all ratios are 0. The counts are one
     row per pair, whatever the input.
     """
     size = len(ALPHABET)
@@ -136,16 +139,20 @@ def train(samples: DataFrame) -> list[int]:
 
 
 def _ratios(counts: dict[tuple[int, int], tuple[int, int]], size: int) -> list[int]:
+    """Log ratios, with each model's pairs smoothed by how often it has the second character."""
     from math import log
 
-    out = []
-    for a in range(size):
-        rows = [counts.get((a, b), (0, 0)) for b in range(size)]
-        random, plain = (sum(r[i] for r in rows) + size for i in (0, 1))
-        out += [
-            round(UNIT * (log((r + 1) / random) - log((p + 1) / plain))) for r, p in rows
-        ]
-    return out
+    models = []
+    for i in (0, 1):
+        after = [1 + sum(counts.get((a, b), (0, 0))[i] for a in range(size)) for b in range(size)]
+        share = [x / sum(after) for x in after]
+        rows = []
+        for a in range(size):
+            row = [counts.get((a, b), (0, 0))[i] for b in range(size)]
+            total = sum(row) + SMOOTHING
+            rows += [log((n + SMOOTHING * p) / total) for n, p in zip(row, share, strict=True)]
+        models.append(rows)
+    return [round(UNIT * (x - y)) for x, y in zip(*models, strict=True)]
 
 
 def run_scores(token: Column, ratios: list[int]) -> Column:
