@@ -93,7 +93,7 @@ def _sets(k: int, percent: int):
                 heads, signatures = [], []
                 for start, stop, n in zip(offsets[:-1], offsets[1:], sizes, strict=True):
                     first = prefix_length(int(n), percent)
-                    first += first // 4 + LIGHT_LIMIT
+                    first = max(first + first // 4 + 8, LIGHT_LIMIT)
                     heads.append(values[start : min(stop, start + first)].view(np.int64))
                     signatures.append(_signature(values[start:stop]))
                 yield pa.RecordBatch.from_arrays(
