@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import linear_text, mixing, ngram_join, packing, secret_scan
-from sparkloom.llm.filters import bitmap, hits
 from sparkloom.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,22 +18,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return linear_text.keep_accepted(docs, model, "text", "lang")
 
 
-def _rows(marked, there: bool):
-    """The rows whose hash, in the last column, is marked or is not."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = hits(marked, batch.column(batch.num_columns - 1).to_numpy())
-            yield batch.filter(pa.array(found if there else ~found))
-
-    return run
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones stays, that with the smallest id.
 
-    Rows that share an id stand or fall together, and equal rows stay once. A
-    bitmap of the ids in question lets all other rows pass without a shuffle.
+    Rows that share an id stand or fall together, and equal rows stay once. The
+    ids in question are written first, so that Spark knows their size.
     """
     docs = docs.select(*COLUMNS)
     of_id = ngram_join.jaccard_components(docs).groupBy("doc_id").agg(
@@ -45,12 +30,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
     asked = of_id.where("doc_id IS NOT NULL AND (gone OR rows > 1)").select("doc_id", "gone")
     asked = Scratch(spark, "near_duplicates").write(asked, "asked")
-    marked = bitmap(asked.select(F.xxhash64("doc_id").alias("hash")))
-    hashed = docs.withColumn("_hash", F.xxhash64("doc_id"))
-    passed = hashed.mapInArrow(_rows(marked, False), hashed.schema)
-    held = hashed.mapInArrow(_rows(marked, True), hashed.schema)
-    held = held.join(asked.where("gone"), "doc_id", "left_anti").dropDuplicates(COLUMNS)
-    return passed.select(*COLUMNS).union(held.select(*COLUMNS))
+    single = docs.join(asked, "doc_id", "left_anti")
+    repeated = docs.join(asked.where("NOT gone"), "doc_id", "left_semi").dropDuplicates(COLUMNS)
+    return single.select(*COLUMNS).union(repeated.select(*COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import words
 from .hashing import unit
 
 UNKNOWN = "und"
@@ -311,15 +312,13 @@ def keep_accepted(docs: DataFrame, model: Model, text: str = "text", label: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_at)
-            found = [r.columns[1:] for r in _predictions(model)([_pair(texts)])]
-            if not found:
-                continue
-            guess = pa.concat_arrays([r[0] for r in found])
-            accepted = pa.concat_arrays([r[2] for r in found])
-            columns = list(batch.columns)
-            columns[label_at] = pa.compute.coalesce(columns[label_at], guess)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(accepted)
+            for part in words.slices(batch, text):
+                found = [r.columns[1:] for r in _predictions(model)([_pair(part.column(text_at))])]
+                guess = pa.concat_arrays([r[0] for r in found])
+                accepted = pa.concat_arrays([r[2] for r in found])
+                columns = list(part.columns)
+                columns[label_at] = pa.compute.coalesce(columns[label_at], guess)
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names).filter(accepted)
 
     return docs.mapInArrow(run, docs.schema)
 
