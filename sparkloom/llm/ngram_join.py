@@ -577,8 +577,12 @@ def jaccard_components(
     linked = rows.where("n > 0 AND id IS NOT NULL")
     first = linked.groupBy("key").agg(F.min(F.struct("id", "uid")).alias("first"))
     reps = scratch.write(first.select("key", "first.id", "first.uid"), "reps")
+    # The copies are the smaller part, so that sets are rarely shuffled to leave them out.
+    kept = reps.select("key", F.col("uid").alias("kept"))
+    copies = linked.select("key", "uid").hint("merge").join(kept.hint("merge"), "key")
+    copies = scratch.write(copies.where("uid <> kept").select("uid"), "copies")
     classes = linked.select("uid", "n", "head", "signature")
-    classes = scratch.write(classes.join(reps.select("uid"), "uid", "left_semi"), "classes")
+    classes = scratch.write(classes.join(copies, "uid", "left_anti"), "classes")
 
     lists = _lists(classes, reps, texts, k, percent, scratch)
     boundary = _boundary(classes, lists, percent)
