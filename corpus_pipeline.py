@@ -9,6 +9,8 @@ from sparkloom.llm import linear_text, mixing, ngram_join, packing, secret_scan
 from sparkloom.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_SHINGLE = 5  # words of a shingle of the near-duplicate stage
+NEAR_PERCENT = 80  # least Jaccard measure of its near copies
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,11 +23,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones stays, that with the smallest id.
 
+    Similar are texts whose sets of five-word shingles have a Jaccard measure of
+    80 % or more; the query ``op3_ngram_join`` has its own size and threshold.
     Rows that share an id stand or fall together, and equal rows stay once. The
     ids in question are written first, so that Spark knows their size.
     """
     docs = docs.select(*COLUMNS)
-    of_id = ngram_join.jaccard_components(docs).groupBy("doc_id").agg(
+    of_id = ngram_join.jaccard_components(docs, k=NEAR_SHINGLE, percent=NEAR_PERCENT).groupBy("doc_id").agg(
         F.count("*").alias("rows"), F.max(F.col("component_id") < F.col("doc_id")).alias("gone")
     )
     asked = of_id.where("doc_id IS NOT NULL AND (gone OR rows > 1)").select("doc_id", "gone")

@@ -97,6 +97,18 @@ def test_join_against_brute_force(spark):
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
 
 
+def components_by_pairs(sets, percent):
+    """The smallest number that links of all pairs reach, per set."""
+    low = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((low[i], low[j]))
+                low = [a if x == b else x for x in low]
+    return low
+
+
 def test_mixing(spark):
     sources = ["b", "a", "a", None, "c", "c"]
     docs = frame(spark, ["x y z", "x " * 40, None, "q w", "", "e " * 30], sources=sources)
@@ -303,3 +315,25 @@ def test_pipeline_stages(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "ngram_join", "secret_scan", "mixing", "best_fit_packing"
     ]
+
+
+def test_pipeline_near_copies(spark):
+    draw = np.random.default_rng(5)
+    texts = []
+    for i in range(12):
+        stem = [f"t{i}x{j}" for j in range(200)]
+        scattered, passage, other = list(stem), list(stem), list(stem)
+        for at in range(20, 20 + 40 * 4, 40):
+            scattered[at] = f"n{i}x{at}"
+        passage[90 : 90 + 14] = [f"p{i}x{j}" for j in range(14)]
+        other[::12] = [f"o{i}x{j}" for j in range(len(other[::12]))]
+        texts += [" ".join(x) for x in (stem, scattered, passage, other)]
+    texts += [" ".join(f"u{draw.integers(9000)}" for _ in range(60)) for _ in range(5)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    for i in range(0, 48, 4):
+        for near in (1, 2):
+            assert 0.8 <= len(sets[i] & sets[i + near]) / len(sets[i] | sets[i + near]) < 0.9
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, texts).repartition(3), "")
+    got = sorted(r["doc_id"] for r in kept.collect())
+    want = components_by_pairs(sets, 80)
+    assert got == sorted(set(want)) and len(got) == 29
