@@ -216,17 +216,29 @@ def _marked(uids: np.ndarray):
     return run
 
 
+_SUBSET = pa.schema(
+    [
+        ("a", pa.int32()),
+        ("b", pa.int32()),
+        ("larger", pa.int32()),
+        ("subset", pa.binary()),
+        ("uid", pa.int64()),
+    ]
+)
+
+
 def _subsets(boundary: int, percent: int):
     """Rows of family, subset hash and uid for light sets, whose head is the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {"a": [], "b": [], "larger": [], "subset": [], "uid": []}
+            rows = {name: [] for name in _SUBSET.names}
             for uid, n, head in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 values = np.array(head, np.int64).view(np.uint64)
                 one, two = words.mix(values, 11), words.mix(values, 12)
                 for a, b, left in _subset_plan(n, boundary, percent):
-                    out = np.array(list(combinations(range(n), left)), np.int64).reshape(-1, left)
+                    out = np.array(list(combinations(range(n), left)), np.int64)
+                    out = out.reshape(math.comb(n, left), left)
                     with np.errstate(over="ignore"):
                         x = one.sum() - one[out].sum(axis=1)
                         y = two.sum() - two[out].sum(axis=1)
@@ -236,18 +248,10 @@ def _subsets(boundary: int, percent: int):
                     rows["b"] += [b] * len(out)
                     rows["larger"] += [int(n == b)] * len(out)
                     rows["uid"] += [uid] * len(out)
-            yield pa.RecordBatch.from_pydict(
-                rows,
-                pa.schema(
-                    [
-                        ("a", pa.int32()),
-                        ("b", pa.int32()),
-                        ("larger", pa.int32()),
-                        ("subset", pa.binary()),
-                        ("uid", pa.int64()),
-                    ]
-                ),
-            )
+                if len(rows["uid"]) > 100_000:
+                    yield pa.RecordBatch.from_pydict(rows, _SUBSET)
+                    rows = {name: [] for name in _SUBSET.names}
+            yield pa.RecordBatch.from_pydict(rows, _SUBSET)
 
     return run
 

@@ -109,6 +109,21 @@ def components_by_pairs(sets, percent):
     return low
 
 
+def test_join_enumerates_subsets(spark, monkeypatch):
+    texts = []
+    for size in (11, 12, 13):
+        stem = " ".join(f"s{size}x{i}" for i in range(size))
+        texts += [stem, *[f"{stem} end{i}" for i in range(100)]]
+    found = []
+    boundary = ngram_join._boundary
+    monkeypatch.setattr(ngram_join, "_boundary", lambda *a: found.append(boundary(*a)) or found[0])
+    got = ngram_join.jaccard_components(frame(spark, texts).repartition(3)).collect()
+    sets = [shingles(t) for t in texts]
+    want = components_by_pairs(sets, 90)
+    assert found[0] >= 12 and {len(s) for s in sets} == {9, 10, 11, 12}
+    assert sorted(map(tuple, got)) == [(i, len(s), want[i]) for i, s in enumerate(sets)]
+
+
 def test_mixing(spark):
     sources = ["b", "a", "a", None, "c", "c"]
     docs = frame(spark, ["x y z", "x " * 40, None, "q w", "", "e " * 30], sources=sources)
