@@ -45,6 +45,18 @@ NAMES = set(
     "social menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead "
     "comment comments disqus discussion replies respond login signup signin toolbar".split()
 )
+# Names that layouts give to the article's own container as well need less to be taken for it.
+SHARED_NAMES = set(
+    "sponsor promo promotion banner notice notification sidebar sidebars aside widget widgets "
+    "related recommended recommendations share sharing social menu nav navigation footer masthead".split()
+)
+# Names of what readers wrote, the only ones that count for an article element: each may be a comment.
+COMMENTS = set("comment comments disqus discussion replies respond".split())
+# With one of these a value tells the state of a page, not the role of an element.
+STATES = set(
+    "no not non without has have with open opened closed enabled disabled active inactive allowed "
+    "off hidden full".split()
+)
 HEADERS = set("header".split())
 WHOLE = ("article", "main")
 
@@ -57,14 +69,16 @@ BLANKS = re.compile(r"\s+")
 LEAST = 25  # characters of a paragraph that counts
 SHARED = 0.6  # of the best score, for a parent to stand for the article's parts
 SIBLING = 0.2  # of the best score, for a sibling to be kept
+OUTSIDE = 0.25  # of the text in a named element, that the rest of the page has if it is not the article
 LINKED = 0.5  # share of link text from which a block of links is left out
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "length", "linked")
+    __slots__ = ("tag", "parent", "children", "dropped", "names", "score", "length", "linked")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool):
+    def __init__(self, tag: str, parent: Element | None, dropped: bool, names: set[str] | None = None):
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.names = names or set()
         self.children: list[Element | str] = []
         self.score = self.length = self.linked = 0.0
 
@@ -74,7 +88,7 @@ def _is_dropped(tag: str, attributes: str, parent: Element) -> bool:
         return True
     if tag in HEADERS and not _above(parent, WHOLE):
         return True
-    if not attributes or tag in ("html", "body", *WHOLE) and "comment" not in attributes.lower():
+    if not attributes or tag in ("html", "body", *WHOLE):
         return False
     for name, *values, bare in ATTRIBUTE.findall(attributes):
         name, value = (name or bare).lower(), "".join(values).lower()
@@ -84,11 +98,23 @@ def _is_dropped(tag: str, attributes: str, parent: Element) -> bool:
             return True
         if name == "role" and value in ROLES:
             return True
-        if name in ("class", "id") and NAMES & set(re.split(r"[^a-z0-9]+", value)):
-            return True
     return False
 
 
+def _names(tag: str, attributes: str) -> set[str]:
+    """Names in class and id that may mark what is not the article; values of a state have none."""
+    found: set[str] = set()
+    if not attributes or tag in ("html", "body", "main"):
+        return found
+    for name, *values, _ in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for value in "".join(values).lower().split():
+                parts = set(re.split(r"[^a-z0-9]+", value))
+                if not parts & STATES:
+                    found |= parts & (COMMENTS if tag == "article" else NAMES)
+    return found
+
+
 def _above(element: Element | None, tags) -> Element | None:
     """The outermost of the element and its ancestors with one of the tags."""
     found = None
@@ -133,7 +159,7 @@ def parse(html: str) -> Element:
                 here = there.parent
                 while here.tag in ENDS[tag]:
                     here = here.parent
-        child = Element(tag, here, _is_dropped(tag, found[3], here))
+        child = Element(tag, here, _is_dropped(tag, found[3], here), _names(tag, found[3]))
         here.children.append(child)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
@@ -183,6 +209,75 @@ def _blocks(element: Element) -> Iterator[tuple[Element, str, int]]:
                 stack.append((child, iter(child.children), in_link or child.tag == "a"))
 
 
+def _settle_names(root: Element) -> None:
+    """Drop elements with a telling name, unless they hold the article.
+
+    One that holds ``main`` stays. Another one stays if the rest of the page has
+    little text against its own, and if it looks like an article: a top heading
+    in it, or, where layouts give such names to containers, two paragraphs. The
+    largest are settled first, so what stays counts as the rest for the others.
+    An article named as a comment goes if the page has another one, or if it
+    lies within one.
+    """
+    order: list[Element] = []
+    stack = [root]
+    while stack:
+        one = stack.pop()
+        order.append(one)
+        stack += [c for c in reversed(one.children) if isinstance(c, Element) and not c.dropped]
+    named = [one for one in order if one.names]
+    if not named:
+        return
+    marks: dict[Element, set[str]] = {}
+    for one in order:
+        if one.tag in ("h1", "main", "article"):
+            above = one.parent
+            while above is not None:
+                if above.names:
+                    marks.setdefault(above, set()).add(one.tag)
+                above = above.parent
+    # Most pages have no such element that could be the article.
+    if not any(one in marks or one.tag == "article" or one.names <= SHARED_NAMES for one in named):
+        for one in named:
+            one.dropped = True
+        return
+    size, own, paragraphs = {}, {}, {}
+    free, plain = 0, False
+    for block, text, linked in _blocks(root):
+        length = max(len(text) - linked, 0)
+        counts = length >= LEAST and 2 * length >= len(text)
+        one, nearest, comment, article = block, None, False, False
+        while one is not None:
+            if one.names:
+                nearest = nearest or one
+                size[one] = size.get(one, 0) + length
+                paragraphs[one] = paragraphs.get(one, 0) + counts
+                comment = comment or bool(one.names & COMMENTS)
+            article = article or one.tag == "article"
+            one = one.parent
+        plain = plain or (counts and article and not comment)
+        if nearest is None:
+            free += length
+        else:
+            own[nearest] = own.get(nearest, 0) + length
+    named.sort(key=lambda one: -size.get(one, 0))
+    for one in named:
+        if one.tag == "article":
+            within = _above(one.parent, ("article",)) is not None
+            stays = not (plain or within)
+        else:
+            heads = marks.get(one, set()) - ({"article"} if one.names & COMMENTS else set())
+            alike = heads or (one.names <= SHARED_NAMES and paragraphs.get(one, 0) > 1)
+            stays = "main" in heads or bool(alike and OUTSIDE * size.get(one, 0) > free)
+        above = one.parent
+        while stays and above is not None:
+            stays = not above.dropped
+            above = above.parent
+        one.dropped = not stays
+        if stays:
+            free += own.get(one, 0)
+
+
 def _scored(root: Element) -> Element | None:
     """Pass the points of all paragraphs to their ancestors; the best element, if any."""
     best, touched = None, []
@@ -242,14 +337,31 @@ def _kept(best: Element) -> list[Element]:
 
 
 def _links_only(block: Element, top: Element) -> bool:
-    """Whether the block lies in a list, or a part below the top, that is made of links."""
-    one = block
+    """Whether the block lies in a list, or a part below the top, that is made of links.
+
+    An article keeps those, such as its references; other containers keep the
+    ones that follow a paragraph, or a section of text if they are sections.
+    """
+    if top.tag == "article":
+        return False
+    one, found = block, None
     while one is not None and one is not top:
         if one.tag in ("ul", "ol", "dl", "table", "div", "section") and one.length:
             if one.linked > LINKED * one.length:
-                return True
+                found = one
         one = one.parent
-    return False
+    if found is None:
+        return False
+    if top.tag == "#root":
+        return True
+    for other in found.parent.children:
+        if other is found:
+            break
+        if isinstance(other, Element) and not other.dropped:
+            alike = other.tag == "p" or other.tag == found.tag == "section"
+            if alike and other.length - other.linked >= LEAST:
+                return False
+    return True
 
 
 def main_text(html: str | None) -> str:
@@ -257,6 +369,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    _settle_names(root)
     best = _scored(root)
     if best is None:
         blocks = [(b, t) for b, t, linked in _blocks(root) if linked < LINKED * len(t)]
@@ -276,7 +389,9 @@ def extract(
     the share of link text; the article around the best container, or the
     container with its good siblings, is the main text. Menus, headers, footers,
     sidebars, notices, adverts, forms, scripts, hidden parts and comments are left
-    out wherever they are. A page whose text has no paragraph gives all of its
+    out wherever they are; a class or id that names one of these drops an element
+    unless that holds the article. Lists of links within an article's text stay.
+    A page whose text has no paragraph gives all of its
     text that is none of these.
 
     Null and empty pages, and pages without text, give an empty text. Rows are

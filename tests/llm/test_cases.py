@@ -245,6 +245,41 @@ def test_main_text(spark):
     assert main_text.main_text("x < y " + unescape("&amp;")) == "x < y &"
 
 
+def test_main_text_in_named_containers():
+    first = "The first paragraph tells, at some length, what happened."
+    second = "The second paragraph says why, and what came of it later."
+    body = f"<h1>Head</h1><p>{first}</p><p>{second}</p>"
+    want = f"Head\n{first}\n{second}"
+    off = "<div class='{}'><p>Some other text, which nobody wants to read here.</p></div>"
+    named = "has-sidebar no-sidebar|content with-widgets|widget|social|related|notice|post no-comments"
+    for name in named.split("|"):
+        page = f"<body><div class='{name}'>{body}{off.format('ad')}</div>{off.format('related-posts')}</body>"
+        assert main_text.main_text(page) == want, name
+        page = f"<body><div id='{name}'><p>{first}</p><p>{second}</p></div></body>"
+        assert main_text.main_text(page) == f"{first}\n{second}", name
+    for page in (
+        "<html class='no-comments'><body class='post comments-open'>{}</body></html>",
+        "<article class='no-comments'>{}</article>", "<main id='comments'>{}</main>",
+        "<article class='comment-list'>{}</article>",
+        "<div class='modal'><main>{}</main></div>",
+        "<article>{}</article><article class='comment'><p>A reader wrote, at length.</p></article>",
+        "<article>{}<article class='comment'><p>A reader wrote, at length.</p></article></article>",
+        "<div>{}<div id='comments'>" + "<p>A reader wrote, at great length, of this.</p>" * 40 + "</div></div>",
+    ):
+        assert main_text.main_text(page.format(body)) == want, page
+    for name in "ad sidebar sidebar-right cookie-banner related-posts comment-list widget share-bar".split():
+        for page in (f"{body}{off.format(name)}", f"{off.format(name)}<article>{body}</article>"):
+            assert main_text.main_text(f"<body><div>{page}</div></body>") == want, name
+    assert main_text.main_text(f"<body>{off.format('cookie')}<p>short</p></body>") == "short"
+    links = "<ul><li><a href='/a'>Source one</a></li><li><a href='/b'>Source two</a></li></ul>"
+    for page in (
+        f"<article>{body}<h2>References</h2>{links}</article>",
+        f"<article>{body}<section><h2>References</h2>{links}</section></article>",
+        f"<div><ul><li><a href='/m'>Menu of the site</a></li></ul>{body}<h2>References</h2>{links}</div>",
+    ):
+        assert main_text.main_text(page) == want + "\nReferences\nSource one\nSource two", page
+
+
 def vectors(spark, n=700, size=8):
     draw = np.random.default_rng(4)
     x = draw.normal(size=(n, size))
