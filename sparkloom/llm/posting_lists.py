@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -67,6 +67,7 @@ class Index:
     entries: np.ndarray  # where walks start
     longest: float  # norm of the longest vector
     ratio: float
+    held: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # ids of each list
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         """Data vectors with a component that gives all the same norm."""
@@ -86,9 +87,23 @@ class Index:
         inside = rows <= BOUNDARY * rows[:, :1]
         return [n[i] for n, i in zip(near, inside, strict=True)]
 
-    def read_by(self, q: np.ndarray) -> list[np.ndarray]:
-        """Lists that each query reads, by walking the graph of centroids from near to far."""
-        return [self._walk(row) for row in self.aimed(q)]
+    def read_by(self, q: np.ndarray, k: int) -> list[np.ndarray]:
+        """Lists that each query reads, by walking the graph of centroids from near to far.
+
+        Where those may hold fewer than ``k`` other rows, the next nearest ones
+        follow until they do, or until there are no more.
+        """
+        return [self._enough(row, self._walk(row), k) for row in self.aimed(q)]
+
+    def _enough(self, q: np.ndarray, lists: np.ndarray, k: int) -> np.ndarray:
+        # The query's own id may be in each list.
+        others = np.maximum(self.held - 1, 0)
+        if others[lists].sum() >= k:
+            return lists
+        near = np.argsort(np.linalg.norm(self.centers - q, axis=1), kind="stable")
+        near = near[~np.isin(near, lists) & (self.held[near] > 0)]
+        more = others[lists].sum() + np.cumsum(others[near])
+        return np.concatenate([lists, near[: np.searchsorted(more, k) + 1]])
 
     def _walk(self, q: np.ndarray) -> np.ndarray:
         def away(rows: np.ndarray) -> np.ndarray:
@@ -156,17 +171,22 @@ def build_index(x: np.ndarray, total: int, longest: float, k: int = K, seed: int
     return index
 
 
-def _postings(index: dict[int, Index], queries: bool):
-    """Rows of id, vector and ``part``, the number of a list, once per list of the vector."""
+def _postings(index: dict[int, Index], k: int | None = None):
+    """Rows of id, vector and ``part``, the number of a list, once per list of the vector.
+
+    With ``k``, the rows are queries and the lists those they read; ``first``
+    marks the nearest list of a row of data.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for size, rows in frame.groupby(frame["v"].map(len)):
                 x = stacked(rows)
-                lists = index[size].read_by(x) if queries else index[size].lists_of(x)
+                lists = index[size].read_by(x, k) if k else index[size].lists_of(x)
                 copies = np.repeat(np.arange(len(rows)), [len(n) for n in lists])
                 part = size * CENTROIDS + np.concatenate(lists)
-                yield rows.iloc[copies].assign(part=part)
+                first = np.concatenate([np.arange(len(n)) == 0 for n in lists])
+                yield rows.iloc[copies].assign(part=part, first=first)
 
     return run
 
@@ -214,7 +234,8 @@ def nearest(
     lists and many queries of a list are cut into blocks that meet one by one.
     Scores are those of the vectors as given, in doubles.
 
-    If the lists read hold fewer than ``k`` candidates, the result has those.
+    A query goes on to further lists until they hold ``k`` candidates; it finds
+    fewer only if there are no more.
     Null vectors and ids, zero vectors, and vectors with null or non-finite
     components take no part; vectors of different lengths do not meet. Rows that
     repeat id and vector count once. Other columns are ignored; an empty table,
@@ -236,16 +257,22 @@ def nearest(
         x = [c["v"] for c in chosen if len(c["v"]) == size] or [[r["longest"]] + [0.0] * (size - 1)]
         index[size] = build_index(np.array(x), r["n"], r["longest"], k)
 
-    schema = "id long, v array<double>, part long"
-    listed = data.mapInPandas(_postings(index, False), schema)
+    schema = "id long, v array<double>, part long, first boolean"
+    listed = data.mapInPandas(_postings(index), schema)
     listed = scratch.write(listed, "listed")
+    # One row per list; a row counts under its nearest list only, so no candidate counts twice.
+    sizes = listed.where("first").select("part", "id").distinct().groupBy("part").count().collect()
+    for size in index:
+        index[size].held = np.zeros(len(index[size].centers), np.int64)
+    for r in sizes:
+        index[r["part"] // CENTROIDS].held[r["part"] % CENTROIDS] = r["count"]
     counts = listed.groupBy("part").agg(F.ceil(F.count("*") / ROWS).alias("blocks"))
     dealt = listed.join(counts, "part").withColumn("deal", F.pmod(F.xxhash64("id"), "blocks"))
     blocks = (
         dealt.repartition("part", "deal").sortWithinPartitions("part", "deal")
         .select("id", "v", "part").mapInPandas(block_rows(ROWS), BLOCK)
     )
-    read = data.where(is_query(F.col("id"))).mapInPandas(_postings(index, True), schema)
+    read = data.where(is_query(F.col("id"))).mapInPandas(_postings(index, k), schema)
     groups = (
         read.withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(64)))
         .repartition("part", "deal").sortWithinPartitions("part", "deal")

@@ -321,6 +321,22 @@ def test_nearest(spark):
     assert posting_lists.nearest(frame.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+def test_nearest_goes_on_past_small_lists(spark):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    # A small cluster far from all else, whose members lie almost on their centroid.
+    x[:5] = np.eye(16)[0] * 40 + draw.normal(size=(5, 16)) * 1e-3
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(0, [float(c) for c in x[0]])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = posting_lists.nearest(frame, lambda i: (i < 5) | (i % 100 == 0)).toPandas()
+    assert (found.groupby("query_id").size() == 20).all() and found.query_id.nunique() == 34
+    for query in range(5):
+        assert set(range(5)) - {query} <= set(found.vec_id[found.query_id == query])
+    few = posting_lists.nearest(frame.where("vec_id < 8"), lambda i: i < 5).toPandas()
+    assert (few.groupby("query_id").size() == 7).all()
+
+
 def test_secrets(spark):
     random = hashlib.sha256(b"x").digest().hex().upper()[:20] + "gT7kQz9LpW2xVb4N"
     texts = [
