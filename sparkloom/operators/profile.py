@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, floor
+from math import ceil, frexp
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 # The type names profiled as numbers.
 NUMERIC_TYPES = ("integer", "long", "float", "double")
 
-# Values and accuracy of the sketch that each pass for an exact percentile takes.
-GRID = 257
-SKETCH = 10_000
+# Bits of a double's fraction, and how many of them a pass for an exact percentile settles.
+FRACTION = 52
+DIGIT = 13
 
 
 def _columns_of(df: DataFrame, kinds: Sequence[str], columns: Sequence[str] | None) -> list[str]:
@@ -110,58 +110,101 @@ def exact_percentiles(
 ) -> dict[tuple[str, float], float | None]:
     """The value of rank ``ceil(p * n)`` for every column and ``p``; nulls and NaN left out.
 
-    Each pass sketches the rows between the bounds known so far and counts those
-    below; the sketch's values around the rank are the next bounds, until they are
-    one value that holds the rank. A pass leaves a fiftieth of the rows or less,
-    however the values are spread. The driver sees ``GRID`` values per search.
+    A column of nulls and NaN has None. Infinities are values like others, and
+    zeros of either sign are one value. This is radix selection on the 64 bits
+    of a double: the first pass counts rows by sign and exponent, each of the
+    next by ``DIGIT`` bits of the fraction among the rows that share the bits so
+    far, so five passes settle any column of any length. A search ends earlier
+    once its rows are all one value. The driver sees ``2 ** DIGIT`` counts per
+    search and pass at most.
     """
     value = {name: _quoted(name).cast("double") for name in columns}
-    kept = {name: F.when(~F.isnan(x), x) for name, x in value.items()}
-    found: dict[tuple[str, float], float | None] = {}
-    # (column, p) -> bounds, both None at first, and rows below the lower one.
-    searching = {(name, p): (None, None, 1) for name in columns for p in percentiles}
-    sizes: dict[str, int] = {}
+    kept = {name: F.when(~F.isnan(x), x + F.lit(0.0)) for name, x in value.items()}
+    found: dict[tuple[str, float], float | None] = dict.fromkeys(
+        (name, p) for name in columns for p in percentiles
+    )
+    # (column, p) -> least and largest value of the rows in question, and the rank among them.
+    searching = {case: (None, None, None) for case in found}
+    shift = FRACTION
     while searching:
-        facts = _sketch_ranges(df, kept, searching)
-        narrowed = {}
-        for (name, p), (low, high, margin) in searching.items():
-            below, inside, grid = facts[name, low, high]
-            if low is None:
-                sizes[name] = inside
-            if not inside:
-                found[name, p] = None
-                continue
-            rank = max(1, ceil(p * sizes[name])) - below
-            if not 1 <= rank <= inside:
-                # The sketch was off: search everything again with wider bounds.
-                narrowed[name, p] = (None, None, 2 * margin)
-            elif grid[0] == grid[-1]:
-                found[name, p] = grid[0]
-            else:
-                at = (rank - 1) * (GRID - 1) / max(inside - 1, 1)
-                first = max(0, floor(at) - margin)
-                last = min(GRID - 1, ceil(at) + margin)
-                narrowed[name, p] = (grid[first], grid[last], margin)
-        searching = narrowed
+        ranges = list(dict.fromkeys((name, *s[:2]) for (name, _), s in searching.items()))
+        groups = _count_digits(df, kept, ranges, shift)
+        left = {}
+        for (name, p), (low, high, rank) in searching.items():
+            inside = groups[ranges.index((name, low, high))]
+            if rank is None:
+                rank = max(1, ceil(p * sum(g["n"] for g in inside)))
+            for g in inside:
+                if rank <= g["n"]:
+                    if g["least"] == g["most"]:
+                        found[name, p] = g["least"]
+                    else:
+                        left[name, p] = (g["least"], g["most"], rank)
+                    break
+                rank -= g["n"]
+        searching = left
+        shift -= DIGIT
     return found
 
 
-def _sketch_ranges(df: DataFrame, kept: dict[str, Column], searching: dict) -> dict:
-    """Per column and bounds: rows below, rows inside, and values at even ranks inside."""
-    ranges = list(dict.fromkeys((name, low, high) for (name, _), (low, high, _) in searching.items()))
-    shares = [i / (GRID - 1) for i in range(GRID)]
-    aggregates = []
-    for i, (name, low, high) in enumerate(ranges):
-        x = kept[name]
-        below = F.lit(False) if low is None else x < F.lit(low)
-        inside = x if low is None else F.when(x.between(F.lit(low), F.lit(high)), x)
-        aggregates += [
-            F.count_if(below).alias(f"below{i}"),
-            F.count(inside).alias(f"inside{i}"),
-            F.percentile_approx(inside, shares, SKETCH).alias(f"grid{i}"),
+def _exponents(rows: DataFrame) -> DataFrame:
+    """Adds ``digit``: the exponent bits of ``x``, negative for values below zero.
+
+    Infinities come last, and values under the least normal one share the bits 0.
+    """
+    size = F.abs("x")
+    tiny, endless = size < F.lit(2.0**-1022), size == F.lit(float("inf"))
+    near = F.when(~tiny & ~endless, F.floor(F.log2(size)).cast("int"))
+    rows = rows.withColumn("near", near)
+    # The logarithm may be rounded across a power of two.
+    above = size >= F.pow(F.lit(2.0), F.col("near") + 1)
+    below = size < F.pow(F.lit(2.0), F.col("near"))
+    normal = F.col("near") + F.when(above, 1024).when(below, 1022).otherwise(1023)
+    bits = F.when(tiny, 0).when(endless, 2047).otherwise(normal)
+    return rows.withColumn("digit", F.when(F.col("x") < 0, -bits).otherwise(bits).cast("long"))
+
+
+def _scale(some: float | None) -> tuple[float, float, float]:
+    """What to divide by, subtract and multiply with to turn a value into its fraction bits.
+
+    It holds for all values with the exponent bits of ``some``; below zero larger
+    bits are smaller values, so there the bits are negative.
+    """
+    if not some or abs(some) < 2.0**-1022:
+        return 2.0**-537, 0.0, 2.0**537
+    sign = 1.0 if some > 0 else -1.0
+    return sign * 2.0 ** (frexp(some)[1] - 1), 1.0, sign * 2.0**FRACTION
+
+
+def _count_digits(df: DataFrame, kept: dict[str, Column], ranges: list, shift: int) -> list[list]:
+    """Rows of each range by the digit of their bits at ``shift``, smallest value first.
+
+    Ranges of one column do not overlap, so a row has one entry per column at
+    most. The table of ranges, broadcast, has a row per column and percentile.
+    """
+    names = list(dict.fromkeys(r[0] for r in ranges))
+    entries = [F.struct(F.lit(i).alias("of"), kept[n].alias("x")) for i, n in enumerate(names)]
+    rows = df.select(F.inline(F.array(*entries))).where("x IS NOT NULL")
+    if shift == FRACTION:
+        rows = _exponents(rows.withColumnRenamed("of", "range"))
+    else:
+        table = [
+            (i, names.index(n), low, high, *_scale(low)) for i, (n, low, high) in enumerate(ranges)
         ]
-    row = df.agg(*aggregates).first()
-    return {r: (row[f"below{i}"], row[f"inside{i}"], row[f"grid{i}"]) for i, r in enumerate(ranges)}
+        known = df.sparkSession.createDataFrame(
+            table,
+            "range int, of int, low double, high double, unit double, one double, factor double",
+        )
+        bits = ((F.col("x") / F.col("unit") - F.col("one")) * F.col("factor")).cast("long")
+        rows = rows.join(F.broadcast(known), "of").where("x BETWEEN low AND high")
+        rows = rows.withColumn("digit", F.shiftright(bits, shift))
+    counted = rows.groupBy("range", "digit").agg(
+        F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most")
+    )
+    groups: list[list] = [[] for _ in ranges]
+    for row in sorted(counted.collect(), key=lambda r: r["least"]):
+        groups[row["range"]].append(row)
+    return groups
 
 
 def percentile_ranks(

@@ -10,6 +10,7 @@ from sparkloom.operators import graph, topk
 from sparkloom.operators.graph import coloring
 from sparkloom.operators.graph.changes import _alive_before
 from sparkloom.operators.joins import join_group_rows
+from sparkloom.plans import catalog
 from sparkloom.scratch import Scratch, shared_folder
 
 SMALL = "/root/testdata/sf0.001"
@@ -40,10 +41,10 @@ def final_plan(df):
     return physical(df).split("+- == Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("key", sorted(set(entry_module.queries()) - ITERATIVE))
+@pytest.mark.parametrize("key", sorted(set(catalog.queries()) - ITERATIVE))
 def test_plans_have_no_cross_join_or_python(spark, key):
     plan = physical(entry_module.queries()[key](spark, SMALL))
-    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", plan)
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas|Arrow", plan)
 
 
 def test_hot_key_is_split(spark, settings):

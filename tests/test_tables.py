@@ -2,6 +2,7 @@
 
 import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,16 +97,55 @@ def test_percentiles_stay_within_their_tolerance(spark):
         assert abs(got[name] - share * n) <= n / 1000
 
 
-def test_exact_percentiles_take_few_passes(spark, monkeypatch):
+def _passes(monkeypatch):
     passes = []
-    real = profile._sketch_ranges
-    monkeypatch.setattr(profile, "_sketch_ranges", lambda *a: passes.append(1) or real(*a))
-    df = spark.range(2000).selectExpr("exp(id / 4) AS x")
-    got = profile.exact_percentiles(df, ["x"], [0.25, 0.5, 0.999])
-    import math
-
-    want = {("x", p): math.exp((math.ceil(p * 2000) - 1) / 4) for p in (0.25, 0.5, 0.999)}
-    assert got == pytest.approx(want) and len(passes) <= 7
+    real = profile._count_digits
+    monkeypatch.setattr(profile, "_count_digits", lambda *a: passes.append(1) or real(*a))
+    return passes
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        "exp(id / 4)",
+        "CAST(id % 2 AS double)",
+        "CAST(id < 1000 AS double)",
+        "CAST(0.1 * (id % 11) AS double)",
+        "7.5D",
+        "IF(id % 2 = 0, 0.0D, -0.0D)",
+        "IF(id % 3 = 0, double('NaN'), IF(id % 3 = 1, double('Infinity'), double('-Infinity')))",
+        "IF(id % 5 = 0, CAST(id AS double), 1.0D)",
+    ],
+)
+def test_exact_percentiles_take_few_passes(spark, monkeypatch, values):
+    df = spark.range(2000).selectExpr(f"{values} AS x")
+    shares = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
+    clean = sorted(r["x"] for r in df.collect() if not math.isnan(r["x"]))
+    passes = _passes(monkeypatch)
+    got = profile.exact_percentiles(df, ["x"], shares)
+    assert got == {("x", p): clean[max(1, math.ceil(p * len(clean))) - 1] for p in shares}
+    assert len(passes) <= 5
+
+
+def test_digits_of_doubles(spark):
+    powers = [math.ldexp(1.0, e) for e in range(-1074, 1024)]
+    around = {math.nextafter(x, y) for x in powers for y in (0.0, math.inf)} | set(powers)
+    values = [(x,) for x in around | {-x for x in around if x}]
+    rows = profile._exponents(spark.createDataFrame(values, "x double")).collect()
+    assert len(rows) == len(values)
+    for r in rows:
+        pattern = struct.unpack("<q", struct.pack("<d", abs(r["x"])))[0] >> 52
+        assert r["digit"] == (-pattern if r["x"] < 0 else pattern)
+    for some in (1.5, -1.5, 2.0**-1040, -(2.0**-1040), 1.5 * 2.0**900, 2.0**-1022):
+        near = [some]
+        for _ in range(50):
+            near.append(math.nextafter(near[-1], math.copysign(math.inf, some)))
+        unit, one, factor = profile._scale(some)
+        bits = ((F.col("x") / unit - one) * factor).cast("long")
+        got = spark.createDataFrame([(x,) for x in near], "x double").select("x", bits).collect()
+        for x, found in got:
+            pattern = struct.unpack("<q", struct.pack("<d", abs(x)))[0] % 2**52
+            assert found == (-pattern if x < 0 else pattern)
 
 
 def test_exact_percentiles(spark):
