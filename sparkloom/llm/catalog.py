@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from . import (
     cover_tree,
+    decontaminate,
+    filter_audit,
     linear_text,
     main_text,
     mixing,
@@ -18,6 +20,7 @@ from . import (
     quality_rff,
     secret_scan,
     sharding,
+    spelling,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +90,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(docs))
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digests(decontaminate.overlaps(docs, benchmark))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = filter_audit.flagged(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(marked, table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), slips=spelling.SLIPS)
+
+
 OP8_SQL = """
 WITH v AS (
   SELECT vec_id, [floor(256 * CAST(e AS DOUBLE)) FOR e IN embedding] AS x
@@ -114,6 +131,9 @@ def queries() -> dict[str, Query]:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_secret_scan": op10_secret_scan,
+        "op11_benchmark_decontamination": op11_benchmark_decontamination,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
@@ -124,4 +144,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_ngram_join": ngram_join.ORACLE_SQL,
         "op4_mixing": mixing.ORACLE_SQL,
         "op8_exact_top_k": OP8_SQL,
+        "op11_benchmark_decontamination": decontaminate.ORACLE_SQL,
+        "op12_filter_audit": filter_audit.ORACLE_SQL,
+        "op13_spelling_variants": spelling.ORACLE_SQL,
     }

@@ -78,9 +78,11 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterat
         start = stop
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of every word, in order; words end with their text."""
-    wordy = ~_BLANK[data]
+    wordy = ~blank[data]
     first = wordy.copy()
     first[1:] &= ~wordy[:-1]
     last = wordy.copy()
