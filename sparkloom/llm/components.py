@@ -5,26 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_group_rows
 from ..scratch import Scratch
 
 
-def _join_least(edges: DataFrame, least: DataFrame) -> DataFrame:
-    # A plain shuffle on both sides, so that a hub's edges can be split.
-    return edges.hint("merge").join(least.hint("merge"), "u")
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("least"))
     least = least.select("u", F.least("u", "least").alias("least"))
-    joined = _join_least(both, least).where("v > u")
+    joined = join_group_rows(both, least, "u").where("v > u")
     return joined.select(F.col("v").alias("u"), F.col("least").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # u is the larger end of every edge here.
     least = edges.groupBy("u").agg(F.min("v").alias("least"))
-    joined = _join_least(edges, least).where("v <> least")
+    joined = join_group_rows(edges, least, "u").where("v <> least")
     moved = joined.select(F.col("v").alias("u"), F.col("least").alias("v"))
     return moved.union(least.select("u", F.col("least").alias("v"))).distinct()
 

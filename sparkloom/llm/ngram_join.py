@@ -11,9 +11,14 @@ entries.
 Counts that settle the order are taken over the first shingles by hash of every
 set, enough for most prefixes; sets in which too few of those are rare are read
 whole. Candidates are compared by bit signatures whose distance never exceeds the sets'
-difference, so no link is lost; what remains is checked on the sets themselves.
-Long lists do that in blocks and in two passes: the first hands on one partner
-per member, the second every pair that is not connected by then.
+difference, so no link is lost; what remains is checked on the sets themselves,
+first one pair per set and then the pairs that are not connected by then.
+
+Long lists do that by size of set and in three passes. The first compares within
+blocks and hands on one partner per member. The others take the lists that still
+hold several components, and compare the members outside the largest component
+with all others: first handing on one partner per component, then every pair. So
+a large group of near copies costs its length.
 """
 
 from __future__ import annotations
@@ -24,9 +29,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_group_rows
 from ..scratch import Scratch
 from . import words
 from .components import components
@@ -37,7 +43,8 @@ PERCENT = 90
 RARE = 16  # shingles counted more often come later in the order, by powers of two
 SHORT = 32  # lists up to this length hand on pairs of numbers, longer ones compare signatures
 BLOCK = 512  # members of a long list compared in one go
-LIGHT_LIMIT = 28  # largest boundary considered
+HEAD = 28  # shingles of a head at least
+
 
 def least_overlap(a: int, b: int, percent: int) -> int:
     """The overlap that sets of sizes ``a`` and ``b`` need to be similar."""
@@ -93,7 +100,7 @@ def _sets(k: int, percent: int):
                 heads, signatures = [], []
                 for start, stop, n in zip(offsets[:-1], offsets[1:], sizes, strict=True):
                     first = prefix_length(int(n), percent)
-                    first = max(first + first // 4 + 8, LIGHT_LIMIT)
+                    first = max(first + first // 4 + 8, HEAD)
                     heads.append(values[start : min(stop, start + first)].view(np.int64))
                     signatures.append(_signature(values[start:stop]))
                 yield pa.RecordBatch.from_arrays(
@@ -176,11 +183,16 @@ def _frequent_rows(frequent: np.ndarray):
     return run
 
 
-def _prefix_entries(percent: int, shared: np.ndarray | None):
-    """Rows of uid, size and token: the marked ones among a set's first in the order."""
+def _prefix_entries(percent: int, shared: np.ndarray | None, apart: np.ndarray | None = None):
+    """Rows of uid, size and token: the marked ones among a set's first in the order.
+
+    Sets whose uid is marked in ``apart`` are left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if apart is not None:
+                batch = batch.filter(pa.array(~hits(apart, batch.column(0).to_numpy())))
             heads, starts = _flat(batch.column(2))
             n, chosen = batch.column(1).to_numpy(), []
             for row, known in enumerate(batch.column(3).to_pylist()):
@@ -263,18 +275,23 @@ def _folded(signature: np.ndarray, width: int) -> np.ndarray:
     return signature
 
 
-def _close_pairs(n, signatures, sides, parts, boundary, percent, all_pairs):
-    """Index pairs of one block whose signatures allow them to be similar."""
+def _close_pairs(n, signatures, sides, upper, parts, boundary, percent, keep):
+    """Index pairs of one block whose signatures allow them to be similar.
+
+    Pairs of one component are left out, and those of two sets of the upper size
+    step. ``keep`` says which pairs follow: ``each`` set with its closest smaller
+    one, its closest one in each ``component``, or ``all``.
+    """
     order = np.lexsort((np.arange(len(n)), n))
-    n, sides = n[order], sides[order]
-    parts = None if parts is None else [parts[i] for i in order]
+    n, sides, upper, parts = n[order], sides[order], upper[order], parts[order]
     widths = np.array([len(signatures[i]) for i in order])
     grouped = {}
     for width in np.unique(widths):
         at = np.flatnonzero(widths == width)
         rows = np.frombuffer(b"".join(signatures[order[i]] for i in at), np.uint8)
         grouped[int(width)] = (at, rows.reshape(len(at), -1).view(np.uint64))
-    best: dict[int, tuple[int, int]] = {}
+    least, partner = np.full(len(n), np.iinfo(np.int64).max), np.full(len(n), -1)
+    closest: dict[tuple[int, int], tuple[int, int]] = {}
     for width, (at, rows) in grouped.items():
         for wide, (at_wide, rows_wide) in grouped.items():
             if wide < width:
@@ -289,15 +306,23 @@ def _close_pairs(n, signatures, sides, parts, boundary, percent, all_pairs):
                 distance = np.bitwise_count(rows[x] ^ folded[span]).sum(axis=1, dtype=np.int64)
                 good = (distance <= allowed) & (n[others] > boundary)
                 good &= (sides[others] != sides[i]) | (sides[i] == 2)
+                good &= (parts[others] != parts[i]) & ~(upper[others] & upper[i])
+                if keep == "each":
+                    good &= distance < least[others]
+                    least[others[good]], partner[others[good]] = distance[good], i
+                    continue
                 for j, d in zip(others[good].tolist(), distance[good].tolist(), strict=True):
-                    if parts is not None and parts[i] == parts[j]:
-                        continue
-                    if all_pairs:
+                    if keep == "all":
                         yield int(order[i]), int(order[j])
-                    elif j not in best or d < best[j][1]:
-                        best[j] = (i, d)
-    for j, (i, _) in best.items():
-        yield int(order[i]), int(order[j])
+                        continue
+                    for a, b in ((i, j), (j, i)):
+                        key = a, int(parts[b])
+                        if key not in closest or d < closest[key][1]:
+                            closest[key] = (b, d)
+    for j in np.flatnonzero(partner >= 0):
+        yield int(order[partner[j]]), int(order[j])
+    for (a, _), (b, _) in closest.items():
+        yield int(order[a]), int(order[b])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list]]:
@@ -327,20 +352,19 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
 _PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def _scan(boundary: int, percent: int, all_pairs: bool):
+def _scan(boundary: int, percent: int, keep: str):
     """Pairs of sets from blocks of long lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, cuts in _runs(batches, ["token", "i", "j"]):
-            n, side = table.column("n").to_numpy(), table.column("side").to_numpy()
-            uids, sigs = table.column("uid").to_pylist(), table.column("signature").to_pylist()
-            parts = table.column("part").to_pylist()
+        for table, cuts in _runs(batches, _BLOCK_KEY):
+            names = ("n", "side", "upper", "part", "uid")
+            n, side, upper, parts, uids = (table.column(c).to_numpy() for c in names)
             u, v = [], []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if b - a > 1:
-                    part = parts[a:b] if all_pairs else None
+                    signatures = table.column("signature").slice(a, b - a).to_pylist()
                     for x, y in _close_pairs(
-                        n[a:b], sigs[a:b], side[a:b], part, boundary, percent, all_pairs
+                        n[a:b], signatures, side[a:b], upper[a:b], parts[a:b], boundary, percent, keep
                     ):
                         u.append(uids[a + x])
                         v.append(uids[a + y])
@@ -424,11 +448,11 @@ def _entries(sets: DataFrame, frequent: DataFrame, shared: np.ndarray | None, pe
         frequent.select("uid", "known"), "uid", "left"
     )
     plain = F.lit(None).cast("array<struct<place:int,level:int>>")
-    without = sets.mapInArrow(_marked(~uids), _SET).withColumn("known", plain)
-    run = _prefix_entries(percent, shared)
-    return with_known.select("uid", "n", "head", "known").mapInArrow(run, _ENTRY).union(
-        without.select("uid", "n", "head", "known").mapInArrow(run, _ENTRY)
+    without = sets.withColumn("known", plain).mapInArrow(
+        _prefix_entries(percent, shared, uids), _ENTRY
     )
+    run = _prefix_entries(percent, shared)
+    return with_known.select("uid", "n", "head", "known").mapInArrow(run, _ENTRY).union(without)
 
 
 def _lists(classes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, scratch):
@@ -455,34 +479,48 @@ def _lists(classes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percen
     settled = _entries(classes, frequent, shared, percent).join(short, "uid", "left_anti")
     entries = scratch.write(settled.union(late), "entries")
     lengths = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
-    return scratch.write(entries.hint("merge").join(lengths.hint("merge"), "token"), "lists")
+    return scratch.write(join_group_rows(entries, lengths, "token"), "lists")
 
 
 def _boundary(classes: DataFrame, scans: DataFrame, percent: int) -> int:
-    """The size up to which enumerating subsets costs less than scanning lists."""
-    small = classes.where(f"n <= {LIGHT_LIMIT}").groupBy("n").agg(F.count("*").alias("sets"))
-    cost = scans.where(f"n <= {LIGHT_LIMIT}").groupBy("n").agg(F.sum("length").alias("scanned"))
-    rows = small.join(cost, "n", "left").collect()  # one row per size up to the limit
-    sets = {r["n"]: r["sets"] for r in rows}
-    scanned = {r["n"]: r["scanned"] or 0 for r in rows}
+    """The size up to which enumerating subsets costs less than scanning lists.
 
-    def total(x: int) -> int:
-        light = sum(sets.get(n, 0) * _subset_count(n, x, percent) for n in range(1, x + 1))
-        return light + sum(scanned.get(n, 0) for n in range(x + 1, LIGHT_LIMIT + 1))
-
-    # Below 9 shingles similar sets are equal at 90 %, and no subset is needed.
-    return min(range(LIGHT_LIMIT + 1), key=lambda x: (total(x), x))
+    Sizes are tried upwards until the subsets alone cost more than all scans.
+    """
+    small = classes.groupBy("n").agg(F.count("*").alias("sets"))
+    cost = scans.groupBy("n").agg(F.sum("length").alias("scanned"))
+    rows = {r["n"]: r for r in small.join(cost, "n", "left").collect()}  # one per size of set
+    left = sum(r["scanned"] or 0 for r in rows.values())
+    best, least = 0, left
+    for boundary in sorted(rows):
+        # A set has 2 to the power of the shingles left out, or more, subsets.
+        if boundary - least_overlap(boundary, boundary, percent) >= 64:
+            break
+        left -= rows[boundary]["scanned"] or 0
+        light = sum(
+            rows[n]["sets"] * _subset_count(n, boundary, percent) for n in rows if n <= boundary
+        )
+        if light > least:
+            break
+        if light + left < least:
+            best, least = boundary, light + left
+    return best
 
 
-def _light_links(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
+def _light_links(
+    classes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, boundary: int, percent: int
+) -> DataFrame:
     """Each set with the smallest uid that shares a subset of the required size with it."""
     family = ["a", "b", "subset"]
-    subsets = (
-        classes.where(f"n <= {boundary}")
-        .select("uid", "n", "head")
-        .mapInArrow(
-            _subsets(boundary, percent), "a int, b int, larger int, subset binary, uid long"
+    light = classes.where(f"n <= {boundary}").select("uid", "n", "head")
+    if boundary > HEAD:
+        cut = light.where("size(head) < n").select("uid")
+        whole = _fetch(texts, reps.join(cut, "uid", "left_semi"), k).select(
+            "uid", F.size("members").cast("long").alias("n"), F.col("members").alias("head")
         )
+        light = light.where("size(head) >= n").union(whole)
+    subsets = light.mapInArrow(
+        _subsets(boundary, percent), "a int, b int, larger int, subset binary, uid long"
     )
     groups = subsets.groupBy(*family).agg(
         F.min("uid").alias("v"), F.max("larger").alias("high"), F.min("larger").alias("low"),
@@ -495,29 +533,82 @@ def _light_links(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
     )
 
 
-def _blocks(lists: DataFrame) -> DataFrame:
-    """List entries with the blocks they belong to: one, or one per other block of a long list."""
-    own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
-    pairs = F.transform(
-        F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")),
+_BLOCK_KEY = ["token", "step", "i", "j"]
+_MEMBER = [*_BLOCK_KEY, "side", "upper", "n", "uid", "signature", "part"]
+
+
+def _size_step(percent: int) -> Column:
+    """A number of the size of a set; similar sets have the same or the next one."""
+    if percent == 100:
+        return F.col("n")
+    return F.floor(F.log("n") / (1.001 * math.log(100 / percent)))
+
+
+def _within(lists: DataFrame) -> DataFrame:
+    """The members of long lists, each in one block of its list and size step."""
+    lists = lists.withColumn("of", F.struct("token", "step"))
+    sizes = lists.groupBy("of").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = F.pmod(F.xxhash64("uid", "token"), F.col("blocks")).cast("int")
+    return join_group_rows(lists, sizes, "of").select(
+        "token", "step", dealt.alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side"),
+        F.lit(False).alias("upper"), "n", "uid", "signature", F.col("uid").alias("part"),
+    )
+
+
+def _split(lists: DataFrame, parts: DataFrame) -> DataFrame:
+    """The size windows of long lists that hold several components, by member.
+
+    A window has the sets of one size step and the next. ``parts`` has the
+    component of every set that has one beside its own.
+    """
+    known = parts.select(F.col("node").alias("uid"), F.col("component").alias("known"))
+    rows = lists.join(known, "uid", "left").withColumn("part", F.coalesce("known", "uid"))
+    window = F.explode(F.array(F.col("step"), F.col("step") - 1)).alias("window")
+    rows = rows.select("*", window).withColumn("of", F.struct("token", "window"))
+    counts = rows.groupBy("of", "part").agg(F.count("*").alias("members"))
+    facts = counts.groupBy("of").agg(
+        F.max(F.struct("members", "part")).alias("big"), F.sum("members").alias("all"),
+    )
+    facts = facts.where("big.members < all").select(
+        "of", F.col("big.part").alias("most"),
+        F.ceil(F.col("big.members") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("big.members")) / BLOCK).cast("int").alias("others"),
+    )
+    return join_group_rows(rows, facts, "of").select(
+        "token", F.col("window").alias("step"), (F.col("step") > F.col("window")).alias("upper"),
+        "n", "uid", "signature", "part", "most", "blocks", "others",
+    )
+
+
+def _across(split: DataFrame) -> DataFrame:
+    """Blocks of the largest component with all other members, and those among themselves."""
+    own = F.pmod(F.xxhash64("uid", "token"), F.col("blocks")).cast("int")
+    inside = F.struct(own.alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"))
+    beside = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda i: F.struct(i.alias("i"), F.lit(-1).alias("j"), F.lit(1).alias("side")),
+    )
+    mine = F.pmod(F.xxhash64("uid"), F.col("others")).cast("int")
+    among = F.transform(
+        F.sequence(F.lit(0), F.col("others") - 1),
         lambda other: F.struct(
-            F.least(other, own).alias("i"),
-            F.greatest(other, own).alias("j"),
-            F.when(other == own, 2).when(other > own, 0).otherwise(1).alias("side"),
+            F.least(other, mine).alias("i"),
+            F.greatest(other, mine).alias("j"),
+            F.when(other == mine, 2).when(other > mine, 0).otherwise(1).alias("side"),
         ),
     )
-    return lists.withColumn("pair", F.explode(pairs)).select(
-        "token", "pair.i", "pair.j", "pair.side", "n", "uid", "signature", "part"
+    at = F.when(F.col("part") == F.col("most"), F.array(inside)).otherwise(F.concat(beside, among))
+    return split.withColumn("at", F.explode(at)).select(
+        "token", "step", "at.*", "upper", "n", "uid", "signature", "part"
     )
 
 
-def _long_pairs(lists: DataFrame, boundary: int, percent: int, all_pairs: bool) -> DataFrame:
-    block = ["token", "i", "j"]
+def _long_pairs(members: DataFrame, boundary: int, percent: int, keep: str) -> DataFrame:
     return (
-        _blocks(lists)
-        .repartition(*block)
-        .sortWithinPartitions(*block)
-        .mapInArrow(_scan(boundary, percent, all_pairs), "u long, v long")
+        members.select(*_MEMBER)
+        .repartition(*_BLOCK_KEY)
+        .sortWithinPartitions(*_BLOCK_KEY)
+        .mapInArrow(_scan(boundary, percent, keep), "u long, v long")
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct()
     )
@@ -538,10 +629,8 @@ def _short_pairs(lists: DataFrame, classes: DataFrame, boundary: int, percent: i
     return pairs.join(one, "u").join(two, "v").mapInArrow(_near(percent), "u long, v long")
 
 
-def _checked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets are similar, by the sets themselves."""
-    wanted = pairs.select(F.col("u").alias("uid")).union(pairs.select(F.col("v").alias("uid")))
-    sets = _fetch(texts, reps.join(wanted.distinct(), "uid", "left_semi"), k)
     both = (
         pairs.join(sets.select(F.col("uid").alias("u"), F.col("members").alias("x")), "u")
         .join(sets.select(F.col("uid").alias("v"), F.col("members").alias("y")), "v")
@@ -551,6 +640,36 @@ def _checked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percen
     return both.where(F.col("shared") * 100 >= F.col("all") * percent).select("u", "v")
 
 
+def _of(pairs: DataFrame, parts: DataFrame, end: str) -> DataFrame:
+    """Adds ``part_u`` or ``part_v``: the component of that end, itself if it has none."""
+    known = parts.select(F.col("node").alias(end), F.col("component").alias("known"))
+    joined = pairs.hint("merge").join(known.hint("merge"), end, "left")
+    return joined.withColumn(f"part_{end}", F.coalesce("known", end)).drop("known")
+
+
+def _joined(
+    pairs: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str
+) -> DataFrame:
+    """Components after the links among ``pairs``, which are checked only where they matter.
+
+    First one pair per set is checked, that with its smallest partner; of the
+    others those whose ends are still apart then.
+    """
+    tree = scratch.write(pairs.groupBy("v").agg(F.min("u").alias("u")), f"{name}_tree")
+    asked = tree.select("u", "v")
+    for step in ("near", "far"):
+        if asked.isEmpty():
+            break
+        stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        links = stars.union(_checked(asked, sets, percent))
+        parts = scratch.write(components(links, scratch, f"{name}_{step}"), f"{name}_{step}_parts")
+        if step == "near":
+            apart = _of(_of(pairs, parts, "u"), parts, "v").where("part_u <> part_v")
+            apart = apart.select("u", "v").join(tree, ["u", "v"], "left_anti")
+            asked = scratch.write(apart, f"{name}_apart")
+    return parts
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -590,34 +709,34 @@ def jaccard_components(
 
     lists = _lists(classes, reps, texts, k, percent, scratch)
     boundary = _boundary(classes, lists, percent)
-    light = _light_links(classes, boundary, percent)
+    light = _light_links(classes, reps, texts, k, boundary, percent)
+    every = scratch.write(components(light, scratch, "light"), "light")
     # Smaller sets meet none above the boundary.
     heavy = lists.where(F.col("n") * 100 >= percent * (boundary + 1))
     full = heavy.where(f"length > {SHORT}").join(classes.select("uid", "signature"), "uid")
-    full = scratch.write(full.withColumn("blocks", F.ceil(F.col("length") / BLOCK)), "full")
-    alone = full.withColumn("part", F.lit(None).cast("long"))
-    pairs = _long_pairs(alone, boundary, percent, False).union(
-        _short_pairs(heavy.where(f"length <= {SHORT}"), classes, boundary, percent)
+    full = scratch.write(full.withColumn("step", _size_step(percent).cast("long")), "full")
+
+    short = heavy.where(f"length <= {SHORT}")
+    pairs = _long_pairs(_within(full), boundary, percent, "each").union(
+        _short_pairs(short, classes, boundary, percent)
     )
     pairs = scratch.write(pairs.distinct(), "pairs")
-    links = _checked(pairs, reps, texts, k, percent).union(light)
-    found = scratch.write(components(links, scratch, "near"), "found")
-
-    known = found.select(F.col("node").alias("uid"), F.col("component").alias("known"))
-    parts = full.join(known, "uid", "left").withColumn("part", F.coalesce("known", "uid"))
-    ends = parts.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    split = ends.where("low <> high").select("token")
-    parts = parts.hint("merge").join(split.hint("merge"), "token")
-    more = _long_pairs(parts, boundary, percent, True).join(pairs, ["u", "v"], "left_anti")
-    added = _checked(scratch.write(more, "more"), reps, texts, k, percent)
-    stars = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    every = scratch.write(components(stars.union(added), scratch, "far"), "every")
+    wanted = full.select("uid").union(pairs.select("u")).union(pairs.select("v")).distinct()
+    sets = _fetch(texts, reps.join(wanted, "uid", "left_semi"), k)
+    sets = scratch.write(sets.dropDuplicates(["uid"]), "sets")
+    every = _joined(pairs, every, sets, percent, scratch, "within")
+    for keep in ("component", "all"):
+        split = scratch.write(_split(full, every), f"split_{keep}")
+        if split.isEmpty():
+            break
+        pairs = scratch.write(_long_pairs(_across(split), boundary, percent, keep), f"pairs_{keep}")
+        every = _joined(pairs, every, sets, percent, scratch, keep)
 
     of_class = reps.join(every.withColumnRenamed("node", "uid"), "uid", "left")
     of_class = of_class.select("key", "id", F.coalesce("component", "uid").alias("component"))
+    of_class = scratch.write(of_class, "of_class")
     smallest = of_class.groupBy("component").agg(F.min("id").alias("component_id"))
-    of_class = of_class.hint("merge").join(smallest.hint("merge"), "component")
-    of_class = of_class.select("key", "component_id")
+    of_class = join_group_rows(of_class, smallest, "component").select("key", "component_id")
     members = rows.select("key", F.col("id").alias(id_col), F.col("n").alias("n_shingles"))
     own = F.when(F.col("n_shingles") == 0, F.col(id_col)).when(
         F.col(id_col).isNotNull(), F.col("component_id")

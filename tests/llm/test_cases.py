@@ -124,6 +124,43 @@ def test_join_enumerates_subsets(spark, monkeypatch):
     assert sorted(map(tuple, got)) == [(i, len(s), want[i]) for i, s in enumerate(sets)]
 
 
+def test_join_of_long_lists(spark, monkeypatch):
+    """Many near copies in one list, with outliers, other groups and sets of other sizes."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    draw = np.random.default_rng(8)
+    passage = [f"p{i}" for i in range(150)]
+    texts = []
+    for i in range(120):
+        near = list(passage)
+        near[int(draw.integers(150))] = f"n{i}"
+        texts.append(" ".join(near))
+    for group in range(12):
+        # Sets that share most of the passage and are similar to a few others only.
+        cut = sorted(draw.choice(150, 150 - int(draw.integers(6, 40)), replace=False))
+        stem = [passage[i] for i in cut]
+        for _ in range(int(draw.integers(1, 7))):
+            near = list(stem)
+            near[int(draw.integers(len(near)))] = f"m{draw.integers(10**6)}"
+            texts.append(" ".join(near))
+    texts += [" ".join(passage[:length]) for length in range(60, 150, 3)]
+    sets = [shingles(t) for t in texts]
+    want = components_by_pairs(sets, 90)
+    order = draw.permutation(len(texts)).tolist()
+    docs = frame(spark, [texts[i] for i in order], order).repartition(4)
+    got = ngram_join.jaccard_components(docs).collect()
+    assert sorted(map(tuple, got)) == [(i, len(s), want[i]) for i, s in enumerate(sets)]
+    assert len(set(want)) > 5
+
+
+def test_boundary_has_no_limit(spark):
+    def sizes(n, sets, length):
+        classes = spark.createDataFrame([(n,)] * sets, "n long")
+        scans = spark.createDataFrame([(n, length)] * sets, "n long, length long")
+        return ngram_join._boundary(classes, scans, 90)
+
+    assert sizes(40, 50, 10**6) == 40 and sizes(40, 50, 1) == 0 and sizes(5000, 3, 10**9) == 0
+
+
 def test_mixing(spark):
     sources = ["b", "a", "a", None, "c", "c"]
     docs = frame(spark, ["x y z", "x " * 40, None, "q w", "", "e " * 30], sources=sources)
