@@ -413,7 +413,7 @@ def test_pipeline_stages(spark):
     assert 2 not in ids and 3 not in ids
     alone = corpus_pipeline.near_duplicates(spark, docs, "")
     rows = sorted(r["doc_id"] for r in alone.collect())
-    groups = ngram_join.jaccard_components(docs)
+    groups = ngram_join.jaccard_components(docs, k=5, percent=80)
     assert rows == sorted({r["component_id"] for r in groups.collect()}) and 1 not in rows
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "ngram_join", "secret_scan", "mixing", "best_fit_packing"
@@ -440,3 +440,63 @@ def test_pipeline_near_copies(spark):
     got = sorted(r["doc_id"] for r in kept.collect())
     want = components_by_pairs(sets, 80)
     assert got == sorted(set(want)) and len(got) == 29
+
+
+def test_pipeline_keeps_rows_that_share_an_id(spark):
+    stem = [f"a{i}" for i in range(80)]
+    near = " ".join([*stem[:-1], "end"])
+    other = " ".join(f"b{i}" for i in range(80))
+    texts = [(1, " ".join(stem)), (3, near), (3, other), (7, other), (9, "alone"), (9, "alone")]
+    texts += [(None, other), (None, "free"), (5, None), (5, None), (5, ""), (6, "")]
+    docs = frame(spark, [t for _, t in texts], [k for k, _ in texts]).repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    want = [(1, " ".join(stem)), (3, other), (9, "alone"), (None, "free"), (5, None), (5, ""), (6, "")]
+    assert got == sorted(want, key=str)
+
+
+def test_pipeline_run(spark, tmp_path):
+    """All stages against plain Python: what stays, whole, masked, once, in sequences that fit."""
+    draw = np.random.default_rng(17)
+    tongues = {
+        "en": "the quick house with that stone over which weather thinks".split(),
+        "de": "der schnelle hund über straße wäre nicht zwischen bücher gehört".split(),
+    }
+    rows = []
+    for i in range(60):
+        lang = ("en", "de")[i % 2]
+        words = [f"{w}{'' if draw.random() < 0.5 else 's'}" for w in draw.choice(tongues[lang], 70)]
+        rows.append((i, " ".join(words), lang, "one", 0))
+    rows += [(i + 100, rows[i][1].rsplit(" ", 1)[0], rows[i][2], "one", 0) for i in range(10)]
+    rows += [(3, rows[8][1] + " tail", "en", "one", 0), (200, None, "en", "one", 0), (201, "1 2", None, "one", 5)]
+    secret = "password = hunter2hunter2hunter2"
+    rows.append((300, f"{rows[0][1][::-1]} the house {secret}", "en", "one", 0))
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    accepted = {(r["doc_id"], r["text"]) for r in corpus_pipeline.language(spark, docs, "").collect()}
+    kept = sorted(x for x in accepted)
+    assert {k for k, _ in kept} >= set(range(60)) and not {200, 201} & {k for k, _ in kept}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in kept)]
+    low = components_by_pairs(sets, 80)
+    want = {}
+    for i, (key, text) in enumerate(kept):
+        if low[i] == i:
+            left = text.replace(secret, secret_scan.MASK)
+            want.setdefault(key, []).append(len(left.split()))
+    pieces, bins = {}, {}
+    for r in out:
+        pieces[r["doc_id"]] = pieces.get(r["doc_id"], 0) + r["n_words"]
+        bins.setdefault((r["bin_id"], r["bin_length"]), []).append((r["bin_offset"], r["n_words"]))
+    # There is one source, so every document is taken once.
+    assert pieces == {key: sum(sizes) for key, sizes in want.items()}
+    for (_, length), inside in bins.items():
+        end = 0
+        for offset, size in sorted(inside):
+            assert offset >= end
+            end = offset + size
+        assert end <= length
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0, name
