@@ -15,7 +15,9 @@ from pyspark.sql.types import DoubleType
 from ..functions import by_bounds, equal_width
 from ..operators import cohort, collab, consistency, graph, outlier, profile, quality, sweetspot, topk
 from ..scratch import Scratch
+from ..sources import reports
 from ..sources.graph_files import read_changes, read_graph, write_coloring, write_graph
+from ..sources.tables import parse_csv
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +171,62 @@ def _coloring_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _csv_read(spark: SparkSession, sf: str) -> DataFrame:
+    """The items as CSV with planted bad records, read back as rows and rejected records.
+
+    Rejected are a word for a number, a fraction for a whole number, another word
+    for a truth value, one field too many and one too few.
+    """
+    path = f"{Scratch(spark, 'csv_read').path}/items"
+    line, part = F.col("line"), F.col("part")
+    quoted = F.concat(F.lit('"a ""'), F.col("genre"), F.lit('"", b"'))
+    genre = F.when(line == 1, quoted).when(line == 2, F.lit("")).otherwise(F.col("genre"))
+    score = F.when((line == 3) & (part % 5 == 0), "many").otherwise(F.col("score").cast("string"))
+    score = F.when((line == 4) & (part % 5 == 0), F.concat(score, F.lit(".5"))).otherwise(score)
+    flag = F.when((line == 3) & (part % 3 == 0), "yes").otherwise(F.col("flag").cast("string"))
+    fields = ["album", "part", "line", genre, score, flag, F.col("duration").cast("string")]
+    record = F.concat_ws(",", *fields)
+    record = F.when((line == 5) & (part % 4 == 0), F.concat(record, F.lit(",")))\
+        .when((line == 5) & (part % 4 == 1), F.concat_ws(",", *fields[:-1])).otherwise(record)
+    fx.items(spark, sf).select(record.alias("value")).write.text(path)
+    schema = "album long, part long, line int, genre string, score int, flag boolean, duration double"
+    parsed = parse_csv(spark, path, schema, header=False)
+    columns = ["album", "part", "line", "genre", "score", "flag", "duration"]
+    rows = parsed.rows.select(F.lit("row").alias("reason"), *columns)
+    empty = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns[1:]]
+    album = F.element_at(F.split("record", ","), 1).cast("long").alias("album")
+    return rows.unionByName(parsed.rejected.select("reason", album, *empty))
+
+
+def _report(spark: SparkSession, sf: str) -> DataFrame:
+    """A result of two parts and metrics, written and read again, NaN and infinities included."""
+    folder = Scratch(spark, "report").path
+    items = fx.items(spark, sf)
+    score = F.col("score").cast("double")
+    by_genre = items.groupBy("genre").agg(F.count("*").alias("n"), F.sum("score").alias("total"))
+    special = items.groupBy("line").agg(
+        F.when(F.col("line") == 1, float("inf"))
+        .when(F.col("line") == 2, float("-inf"))
+        .when(F.col("line") == 3, float("nan"))
+        .otherwise(F.max(score))
+        .alias("value")
+    )
+    reports.write_result(folder, "genres", "rows and scores", {"genres": by_genre, "lines": special})
+    path = reports.write_metrics(items.agg(F.count("*").alias("n")), f"{folder}/run", "degree")
+    genres = reports.read_result(spark, folder, "genres", "genres", "genre string, n long, total long")
+    lines = reports.read_result(spark, folder, "genres", "lines", "line int, value double")
+    about = reports.read_result(spark, folder, "genres", "about", "analysis_name string")
+    rows = spark.read.schema("n long").json(path)
+    number = F.col("total").cast("double").alias("value")
+    null, none = F.lit(None).cast("double").alias("value"), F.lit(None).cast("long").alias("n")
+    return (
+        genres.select(F.col("genre").alias("name"), "n", number)
+        .union(lines.select(F.col("line").cast("string").alias("name"), none, "value"))
+        .union(about.select(F.col("analysis_name").alias("name"), none, null))
+        .union(rows.select(F.lit("metrics").alias("name"), "n", null))
+    )
+
+
 def _demo_changes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     log = graph.demo_changes(nodes, edges)
     return log.withColumn("neighbors", F.array_join("neighbors", ","))
@@ -281,6 +339,8 @@ def queries() -> dict[str, Query]:
         "graph_affected": _affected,
         "graph_recolor": _recolor,
         "graph_recolor_fixed_k": _recolor_fixed_k,
+        "csv_read": _csv_read,
+        "report_round_trip": _report,
         "graph_json_round_trip": _graph_json,
         "change_log_round_trip": _change_log,
         "coloring_round_trip": _coloring_json,

@@ -612,6 +612,28 @@ def oracle_sql() -> dict[str, str]:
                               ELSE c.color END AS color
             FROM nodes2 n LEFT JOIN again a USING (id) LEFT JOIN colors c USING (id)""",
         "graph_color_hash": f"WITH RECURSIVE {HASH_COLORED} SELECT id, color FROM colors",
+        "csv_read": f"""WITH {ITEMS},
+          planted AS (
+            SELECT *, line = 5 AND part % 4 < 2 AS fields,
+                   (line = 3 OR line = 4) AND part % 5 = 0 AS bad_score, line = 3 AND part % 3 = 0 AS bad_flag
+            FROM items)
+          SELECT CASE WHEN fields THEN 'fields' WHEN bad_score AND bad_flag THEN 'score,flag'
+                      WHEN bad_score THEN 'score' WHEN bad_flag THEN 'flag' ELSE 'row' END AS reason,
+                 album, CASE WHEN good THEN part END AS part, CASE WHEN good THEN line END AS line,
+                 CASE WHEN good AND line = 1 THEN 'a "' || genre || '", b'
+                      WHEN good AND line <> 2 THEN genre END AS genre,
+                 CASE WHEN good THEN score END AS score, CASE WHEN good THEN flag END AS flag,
+                 CASE WHEN good THEN duration END AS duration
+          FROM (SELECT *, NOT (fields OR bad_score OR bad_flag) AS good FROM planted)""",
+        "report_round_trip": f"""WITH {ITEMS}
+          SELECT genre AS name, count(*) AS n, CAST(sum(score) AS DOUBLE) AS value FROM items GROUP BY genre
+          UNION ALL
+          SELECT CAST(line AS VARCHAR), NULL,
+                 CASE line WHEN 1 THEN CAST('inf' AS DOUBLE) WHEN 2 THEN CAST('-inf' AS DOUBLE)
+                      WHEN 3 THEN CAST('nan' AS DOUBLE) ELSE CAST(max(score) AS DOUBLE) END
+          FROM items GROUP BY line
+          UNION ALL SELECT 'genres', NULL, NULL
+          UNION ALL SELECT 'metrics', count(*), NULL FROM items""",
         "graph_json_round_trip": f"""WITH {GRAPH}
             SELECT src AS a, dst AS b, CAST(NULL AS INT) AS color FROM edges
             UNION ALL SELECT id, NULL, CAST(id % 3 AS INT) FROM nodes""",

@@ -41,6 +41,11 @@ def write_result(
     ).write.mode("overwrite").json(f"{folder}/{name}/about")
 
 
+def read_result(spark: SparkSession, folder: str, name: str, part: str, schema: str) -> DataFrame:
+    """A part that :func:`write_result` has written, NaN and infinities included."""
+    return spark.read.schema(schema).json(f"{folder}/{name}/{part}")
+
+
 def run_metrics(
     spark: SparkSession, timings: Sequence[tuple[str, float]], total_ms: float
 ) -> DataFrame:

@@ -46,6 +46,29 @@ def test_csv_quotes_and_malformed_rows(spark, tmp_path):
     assert {r["track_id"] for r in backslash.collect()} == {"t0", "t4"}
 
 
+def test_csv_is_judged_whatever_is_read(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    lines = [
+        "id,name,ok,x", "1,a,true,0.5", "two,b,true,1", "3,c,maybe,x", "4,d,FALSE,", "5,e", "6,f,true,1,9",
+        ',"",,', '7,"a ""b"", c",True,-1e3', "99999999999,g,true,1", " 8,h,true,1", "9,i,true,NaN",
+    ]
+    path.write_text("\n".join(lines) + "\n")
+    parsed = tables.parse_csv(spark, str(path), "id int, name string, ok boolean, x double")
+    rows = {r["id"]: tuple(r)[1:] for r in parsed.rows.where("x IS NULL OR x = x").collect()}
+    assert rows[7] == ('a "b", c', True, -1000.0) and rows[4] == ("d", False, None)
+    assert set(rows) == {1, 4, None, 7, 9} and rows[None] == (None, None, None)
+    counts = {parsed.rows.select(c).count() for c in parsed.rows.columns}
+    assert counts == {parsed.rows.count()} == {5}
+    reasons = {r["record"].split(",")[0]: r["reason"] for r in parsed.rejected.collect()}
+    assert reasons == {"two": "id", "3": "ok,x", "5": "fields", "6": "fields", "99999999999": "id", " 8": "id"}
+    assert parsed.rejected.count() == parsed.rejected.select("reason").count() == 6
+    (tmp_path / "none.csv").write_text("id,name\n")
+    empty = tables.parse_csv(spark, str(tmp_path / "none.csv"), "id int, name string")
+    assert empty.rows.count() == empty.rejected.count() == 0
+    with pytest.raises(ValueError):
+        tables.parse_csv(spark, str(path), "_corrupt_record string")
+
+
 def test_empty_csv(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.read_tracks(spark, csv_file(tmp_path, []))
