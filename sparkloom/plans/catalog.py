@@ -159,6 +159,22 @@ def _change_log(spark: SparkSession, sf: str) -> DataFrame:
     return again.withColumn("neighbors", F.array_join("neighbors", ","))
 
 
+def _change_log_array(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log as one JSON array in one file, whose order becomes ``seq``."""
+    path = f"{Scratch(spark, 'change_log_array').path}/log"
+    log = fx.part_changes(spark, sf)
+    record = F.to_json(
+        F.struct("type", F.col("a").alias("nodeIdA"), F.col("b").alias("nodeIdB"), "neighbors")
+    )
+    first, last = log.agg(F.min("seq"), F.max("seq")).first()
+    lines = log.orderBy("seq").coalesce(1)  # an array is one file
+    begin = F.when(F.col("seq") == F.lit(first), "[").otherwise(",")
+    end = F.when(F.col("seq") == F.lit(last), "]").otherwise("")
+    lines.select(F.concat(begin, F.lit("\n  "), record, end).alias("value")).write.text(path)
+    again = read_changes(spark, path)
+    return again.withColumn("neighbors", F.array_join("neighbors", ","))
+
+
 def _coloring_json(spark: SparkSession, sf: str) -> DataFrame:
     """Striped colours, written as a result and read again with their summary."""
     path = f"{Scratch(spark, 'coloring_json').path}/result"
@@ -343,6 +359,7 @@ def queries() -> dict[str, Query]:
         "report_round_trip": _report,
         "graph_json_round_trip": _graph_json,
         "change_log_round_trip": _change_log,
+        "change_log_array": _change_log_array,
         "coloring_round_trip": _coloring_json,
         "graph_demo_changes": on_graph(_demo_changes),
         "graph_generate": _generate,

@@ -639,6 +639,9 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT id, NULL, CAST(id % 3 AS INT) FROM nodes""",
         "change_log_round_trip": f"""WITH {GRAPH}, {CHANGES}
             SELECT seq, type, a, b, array_to_string(neighbors, ',') AS neighbors FROM log""",
+        "change_log_array": f"""WITH {GRAPH}, {CHANGES}
+            SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, type, a, b,
+                   array_to_string(neighbors, ',') AS neighbors FROM log""",
         "coloring_round_trip": f"""WITH {GRAPH}
             SELECT CAST(id % 3 AS INT) AS color, count(*) AS node_count FROM nodes GROUP BY 1
             UNION ALL SELECT 3, count(*) FROM nodes""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph.changes import check_changes
@@ -13,20 +13,90 @@ NODE_SCHEMA = "id bigint, neighbors array<bigint>, color int"
 CHANGE_SCHEMA = "type string, nodeIdA bigint, nodeIdB bigint, neighbors array<bigint>"
 
 
-def _texts(spark: SparkSession, path: str, json_lines: bool | None, records: str) -> DataFrame:
-    """The file as texts of whole JSON values: its lines, or else whole files.
+# What comes before a record of an array, and what closes one.
+BEFORE = r"^\s*[\[,]\s*\{"
+CLOSING = r"^\s*(\[\s*)?\]\s*$"
 
-    Lines are read in parallel. ``json_lines`` None looks whether every line that
-    is not blank begins and ends like a value in one of the brackets ``records``.
+
+def _has_lines(spark: SparkSession, path: str, records: str) -> bool:
+    """Whether every line that is not blank looks like a value in one of the brackets."""
+    ends = {"{": "}", "[": "]"}
+    whole = F.lit(False)
+    for begin in records:
+        whole |= F.col("value").startswith(begin) & F.col("value").endswith(ends[begin])
+    return _lines(spark, path).filter(~whole).isEmpty()
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(F.trim("value").alias("value")).filter("value <> ''")
+
+
+def _array_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """``file, block, at, value``: the files cut behind every closing brace, in parallel.
+
+    Spark splits a file at its records whatever ends them; ``block`` is where a
+    task's part begins in the file, and ``at`` numbers the pieces of a part.
+    """
+    return spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    )
+
+
+def _array_blocks(pieces: DataFrame) -> DataFrame | None:
+    """Per part of a file: its first number and the records before it; None if not flat arrays.
+
+    Flat are arrays of records without braces inside. The driver sees one row
+    for all files.
+    """
+    value = F.col("value")
+    record = value.rlike(BEFORE)
+    one_brace = F.length(value) - F.length(F.replace(value, F.lit("{"), F.lit(""))) == 1
+    closing = value.rlike(CLOSING)
+    blocks = pieces.groupBy("file", "block").agg(
+        F.min("at").alias("first"),
+        F.count_if(record).alias("records"),
+        F.count_if(value.rlike(r"^\s*\[")).alias("opened"),
+        F.count_if(closing).alias("closed"),
+        F.count_if(~((record & one_brace) | closing)).alias("others"),
+    )
+    files = blocks.groupBy("file").agg(
+        F.sum("opened").alias("opened"), F.sum("closed").alias("closed"), F.sum("others").alias("others")
+    )
+    if not files.where("opened <> 1 OR closed <> 1 OR others > 0").isEmpty():
+        return None
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(
+        "file", "block", "first", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("before")
+    )
+
+
+def _records(
+    spark: SparkSession, path: str, json_lines: bool | None, records: str, schema: str
+) -> tuple[DataFrame, bool]:
+    """The records of the files, ``seq, r`` for arrays and ``r`` for lines, and whether they are arrays.
+
+    Arrays of records without braces inside are cut at their records and read in
+    parallel, however large a file is; ``seq`` is the place in the file's array.
+    Other arrays are read as one text per file.
     """
-    lines = spark.read.text(path).select(F.trim("value").alias("value")).filter("value <> ''")
     if json_lines is None:
-        ends = {"{": "}", "[": "]"}
-        whole = F.lit(False)
-        for begin in records:
-            whole |= F.col("value").startswith(begin) & F.col("value").endswith(ends[begin])
-        json_lines = lines.filter(~whole).isEmpty()
-    return lines if json_lines else spark.read.text(path, wholetext=True)
+        json_lines = _has_lines(spark, path, records)
+    if json_lines:
+        return _lines(spark, path).select(F.explode(_parsed(F.col("value"), schema)).alias("r")), False
+    pieces = _array_pieces(spark, path)
+    blocks = _array_blocks(pieces)
+    if blocks is None:
+        texts = spark.read.text(path, wholetext=True)
+        return texts.select(F.posexplode(_parsed(F.col("value"), schema)).alias("seq", "r")), True
+    record = F.col("value").rlike(BEFORE)
+    found = pieces.where(record).join(blocks, ["file", "block"])
+    text = F.concat(F.regexp_replace("value", r"^\s*[\[,]\s*", ""), F.lit("}"))
+    seq = F.col("before") + F.col("at") - F.col("first")
+    # The condition again, as Spark may parse what a later filter needs before it filters here.
+    return found.select(seq.alias("seq"), F.when(record, _parsed(text, schema)[0]).alias("r")), True
 
 
 def _parsed(text: Column, schema: str) -> Column:
@@ -46,16 +116,15 @@ def read_graph(
 ) -> tuple[DataFrame, DataFrame]:
     """Nodes and half-edges from records ``{id, neighbors, color}``.
 
-    Files hold one JSON array each, or one record per line, which Spark reads in
-    parallel; unless ``json_lines`` says which, the lines do. Every record is
+    Files hold one JSON array each, or one record per line; Spark reads either in
+    parallel. Unless ``json_lines`` says which, the lines do. Every record is
     read, or reading fails. Self-loops and repeated neighbours are dropped; a
     node may come in several records. Raises ``ValueError`` when there is no node
     or the first records are malformed; later ones fail when they are read.
     """
     try:
-        records = _texts(spark, path, json_lines, "{[")
-        records = records.select(F.inline(_parsed(F.col("value"), NODE_SCHEMA)))
-        records = records.filter(F.col("id").isNotNull())
+        records, _ = _records(spark, path, json_lines, "{[", NODE_SCHEMA)
+        records = records.select("r.*").filter(F.col("id").isNotNull())
         empty = records.isEmpty()
     except Exception as error:
         raise ValueError(f"cannot read a graph from {path}") from error
@@ -82,16 +151,13 @@ def read_changes(
     :func:`sparkloom.operators.graph.check_changes`; so it does for an array in
     several files, whose order is unknown.
     """
-    texts = _texts(spark, path, json_lines, "{")
-    schema = "seq bigint, " + CHANGE_SCHEMA
-    first = texts.limit(1).first()
-    if first and first["value"].lstrip().startswith("["):
-        if texts.limit(2).count() > 1:
+    parsed, array = _records(spark, path, json_lines, "{", "seq bigint, " + CHANGE_SCHEMA)
+    if array:
+        files = spark.read.text(path).select("_metadata.file_path").distinct()
+        if files.limit(2).count() > 1:
             raise ValueError(f"the order of the changes in {path} is unknown: several arrays")
-        parsed = texts.select(F.posexplode(_parsed(F.col("value"), CHANGE_SCHEMA)).alias("seq", "c"))
-        parsed = parsed.select("seq", "c.*")
-    else:
-        parsed = texts.select(F.inline(_parsed(F.col("value"), schema)))
+    own = [F.col(f"r.{name}") for name in ("type", "nodeIdA", "nodeIdB", "neighbors")]
+    parsed = parsed.select(F.col("seq" if array else "r.seq"), *own)
     return check_changes(
         parsed.select(
             F.col("seq").cast("bigint").alias("seq"), "type", F.col("nodeIdA").alias("a"),

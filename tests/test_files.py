@@ -141,6 +141,44 @@ def test_graph_round_trip(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "split")).count() >= 4
 
 
+@pytest.mark.parametrize("indent", [None, 1])
+def test_large_arrays_are_read_in_parallel(spark, tmp_path, indent):
+    changes = [{"type": "ADD_EDGE", "nodeIdA": 3 * i, "nodeIdB": 3 * i + 1} for i in range(20_000)]
+    path = tmp_path / "log.json"
+    path.write_text(json.dumps(changes, indent=indent))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(path.stat().st_size // 7))
+    try:
+        pieces = graph_files._array_pieces(spark, str(path))
+        assert pieces.where("value LIKE '%{%'").select("block").distinct().count() >= 6
+        log = graph_files.read_changes(spark, str(path)).collect()
+        assert sorted((r["seq"], r["a"], r["b"]) for r in log) == [
+            (i, 3 * i, 3 * i + 1) for i in range(20_000)
+        ]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_arrays_of_any_form(spark, tmp_path):
+    def ids(name, *texts):
+        folder = tmp_path / name
+        folder.mkdir()
+        for i, text in enumerate(texts):
+            (folder / f"{i}.json").write_text(text)
+        nodes, edges = graph_files.read_graph(spark, str(folder), json_lines=False)
+        return sorted(r["id"] for r in nodes.collect()), sorted(map(tuple, edges.collect()))
+
+    one, two = '[\n {"id": 1, "neighbors": [2]}\n,\n{"id": 2}\n]\n', '[{"id":3,"neighbors":[]} ]'
+    assert ids("several", one, two, " [ ] ") == ([1, 2, 3], [(1, 2)])
+    # Braces inside a record: the file is read as one text.
+    assert ids("nested", '[{"id": 1, "more": {"x": "}"}, "neighbors": [4]},\n{"id": 4}]') == ([1, 4], [(1, 4)])
+    for number, broken in enumerate(
+        ('[{"id": 1}', '[{"id": 1} {"id": 2}]', '[{"id": 1}]]', '{"id": 1},\n{"id": 2}]', '[{"id": x}]')
+    ):
+        with pytest.raises((PySparkException, ValueError)):
+            ids(f"broken{number}", broken)
+
+
 def test_bad_graph_files(spark, tmp_path):
     with pytest.raises(ValueError):
         graph_files.read_graph(spark, write_json(tmp_path, "none.json", []))
