@@ -2,8 +2,8 @@
 
 Exact duplicates come from radix tries. Every task first merges its own copies,
 so that a text leaves it once per batch with its least id. Texts are then dealt
-out by ranges of an adaptive prefix: the shortest of 4, 8, 16, ... characters
-that does not gather more than ``PART_BYTES`` of texts. Within a range the whole
+out by ranges of an adaptive prefix: the shortest of 4, 16, 64, ... characters
+that does not gather more texts than a task should have. Within a range the whole
 texts go into a compressed trie whose terminals hold the least id; reading the
 terminals back gives the least id of every text.
 
@@ -31,7 +31,7 @@ LEAST_WORDS = 200
 SIGNS = b"#$%&*|"
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 PREFIX = 4  # characters of the shortest prefix
-PART_BYTES = 16 << 20  # text bytes that a range should hold
+PART_BYTES = 16 << 20  # text bytes that a range should hold, or less if there are tasks for it
 
 
 def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,23 +146,31 @@ def _prefixed(texts: DataFrame, part_bytes: int, scratch: Scratch) -> DataFrame:
     """Adds ``prefix``: the shortest one that is not heavy, or the longest there is.
 
     Each round counts the bytes under the prefixes that were too heavy so far.
+    At most ``bytes / part_bytes`` prefixes of a length are heavy.
     """
-    settled, left, length = [], texts, PREFIX
+    known, left, length = [], texts, PREFIX
     while True:
-        left = left.withColumn("prefix", F.substring("text", 1, length))
-        weight = left.groupBy("prefix").agg(
+        weight = left.groupBy(F.substring("text", 1, length).alias("start")).agg(
             F.sum(F.octet_length("text")).alias("bytes"), F.max(F.length("text")).alias("longest")
         )
-        heavy = weight.where(f"bytes > {part_bytes} AND longest > {length}").select("prefix")
+        heavy = weight.where(f"bytes > {part_bytes} AND longest > {length}").select("start")
         heavy = scratch.write(heavy, f"heavy{length}")
         if heavy.isEmpty():
-            out = left
-            for rows in settled:
-                out = out.union(rows)
-            return out
-        settled.append(left.join(heavy, "prefix", "left_anti").select(*texts.columns, "prefix"))
-        left = left.join(heavy, "prefix", "left_semi").select(*texts.columns)
-        length *= 2
+            break
+        known.append((length, heavy))
+        left = texts.withColumn("start", F.substring("text", 1, length)).join(
+            heavy, "start", "left_semi"
+        )
+        length *= 4
+    prefix = F.substring("text", 1, length)
+    rows = texts
+    for size, heavy in reversed(known):
+        start, is_heavy = F.substring("text", 1, size), f"heavy{size}"
+        rows = rows.withColumn("start", start).join(
+            heavy.withColumn(is_heavy, F.lit(True)), "start", "left"
+        )
+        prefix = F.when(F.col(is_heavy).isNull(), start).otherwise(prefix)
+    return rows.select(*texts.columns, prefix.alias("prefix"))
 
 
 def flagged(
@@ -193,6 +201,8 @@ def flagged(
     rows = scratch.write(rows.withColumn("copies", copies).drop("back"), "rows")
     texts = rows.where("text IS NOT NULL").select("copies", "least", "text")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part_bytes = max(1, min(part_bytes, total // tasks))
     dealt = _prefixed(texts, part_bytes, scratch).repartitionByRange(
         max(1, -(-total // part_bytes)), "prefix"
     )
