@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -15,7 +16,9 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style noscript template iframe textarea title xmp noembed noframes".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr "
-    "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics annotation".split()
 )
 # What an opening element closes: elements that end where the next of their kind begins.
 ENDS_P = set(
@@ -35,7 +38,7 @@ WITHIN = {
 # Elements and names that mark what is not the article.
 DROPPED = set(
     "nav aside footer form head script style noscript template iframe textarea select button svg "
-    "math object embed canvas audio video dialog menu input".split()
+    "embed canvas audio video dialog menu input".split()
 )
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu form".split())
 NAMES = set(
@@ -67,6 +70,7 @@ ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 BLANKS = re.compile(r"\s+")
 
 LEAST = 25  # characters of a paragraph that counts
+LEVELS = 40  # ancestors that get points of a paragraph, the last of them under a hundredth
 SHARED = 0.6  # of the best score, for a parent to stand for the article's parts
 SIBLING = 0.2  # of the best score, for a sibling to be kept
 OUTSIDE = 0.25  # of the text in a named element, that the rest of the page has if it is not the article
@@ -129,8 +133,20 @@ def parse(html: str) -> Element:
     """A tree of elements and raw texts; open elements end as HTML lets them."""
     root = Element("#root", None, False)
     at, here = 0, root
+    opened: Counter = Counter()  # open elements by tag
+
+    def up(there: Element) -> Element:
+        """The element, with all below it closed."""
+        one = here
+        while one is not there:
+            opened[one.tag] -= 1
+            one = one.parent
+        return there
+
+    last = html.rfind(">")
     while True:
-        found = TOKEN.search(html, at)
+        # Behind the last bracket only a comment can begin, so nothing else is tried there.
+        found = TOKEN.search(html, at) if at <= last or "<!--" in html[at:] else None
         end = found.start() if found else len(html)
         if end > at:
             here.children.append(html[at:end])
@@ -140,25 +156,26 @@ def parse(html: str) -> Element:
         if not tag:
             continue
         if found[1]:
-            there = here
+            there = here if opened[tag] else None
             while there is not None and there.tag != tag:
                 there = there.parent
             # A closing tag without an open element does nothing.
-            here = there.parent if there is not None else here
+            here = up(there.parent) if there is not None else here
             continue
-        if tag in ENDS_P:
+        if tag in ENDS_P and opened["p"]:
             there = here
             while there.tag in INLINE:
                 there = there.parent
-            here = there.parent if there.tag == "p" else here
-        if tag in ENDS:
+            here = up(there.parent) if there.tag == "p" else here
+        if tag in ENDS and any(opened[t] for t in ENDS[tag]):
             there = here
             while there.tag not in ENDS[tag] and there.tag not in WITHIN[tag] and there.parent:
                 there = there.parent
             if there.tag in ENDS[tag]:
-                here = there.parent
-                while here.tag in ENDS[tag]:
-                    here = here.parent
+                there = there.parent
+                while there.tag in ENDS[tag]:
+                    there = there.parent
+                here = up(there)
         child = Element(tag, here, _is_dropped(tag, found[3], here), _names(tag, found[3]))
         here.children.append(child)
         if tag in RAW:
@@ -170,6 +187,7 @@ def parse(html: str) -> Element:
             at = close.end() if close else len(html)
         elif tag not in VOID and not found[3].endswith("/"):
             here = child
+            opened[tag] += 1
 
 
 def _blocks(element: Element) -> Iterator[tuple[Element, str, int]]:
@@ -228,65 +246,65 @@ def _settle_names(root: Element) -> None:
     named = [one for one in order if one.names]
     if not named:
         return
-    marks: dict[Element, set[str]] = {}
-    for one in order:
-        if one.tag in ("h1", "main", "article"):
-            above = one.parent
-            while above is not None:
-                if above.names:
-                    marks.setdefault(above, set()).add(one.tag)
-                above = above.parent
+    below: dict[Element, set[str]] = {}
+    for one in reversed(order):
+        found = below.get(one, set()) | ({one.tag} & {"h1", "main", "article"})
+        if found and one.parent:
+            below.setdefault(one.parent, set()).update(found)
+    marks = {one: below[one] for one in named if one in below}
     # Most pages have no such element that could be the article.
     if not any(one in marks or one.tag == "article" or one.names <= SHARED_NAMES for one in named):
         for one in named:
             one.dropped = True
         return
-    size, own, paragraphs = {}, {}, {}
+    # The nearest named element, and whether a comment or an article is around.
+    nearest: dict[Element, Element | None] = {}
+    comment: dict[Element, bool] = {}
+    article: dict[Element, bool] = {}
+    for one in order:
+        up = one.parent
+        nearest[one] = one if one.names else nearest.get(up)
+        comment[one] = comment.get(up, False) or bool(one.names & COMMENTS)
+        article[one] = article.get(up, False) or one.tag == "article"
+    size, own, paragraphs = Counter(), Counter(), Counter()
     free, plain = 0, False
     for block, text, linked in _blocks(root):
         length = max(len(text) - linked, 0)
         counts = length >= LEAST and 2 * length >= len(text)
-        one, nearest, comment, article = block, None, False, False
-        while one is not None:
-            if one.names:
-                nearest = nearest or one
-                size[one] = size.get(one, 0) + length
-                paragraphs[one] = paragraphs.get(one, 0) + counts
-                comment = comment or bool(one.names & COMMENTS)
-            article = article or one.tag == "article"
-            one = one.parent
-        plain = plain or (counts and article and not comment)
-        if nearest is None:
+        size[block] += length
+        paragraphs[block] += counts
+        plain = plain or (counts and article[block] and not comment[block])
+        if nearest[block] is None:
             free += length
         else:
-            own[nearest] = own.get(nearest, 0) + length
-    named.sort(key=lambda one: -size.get(one, 0))
+            own[nearest[block]] += length
+    for one in reversed(order):
+        if one.parent:
+            size[one.parent] += size[one]
+            paragraphs[one.parent] += paragraphs[one]
+    named.sort(key=lambda one: -size[one])
+    gone: dict[Element, bool] = {}
     for one in named:
         if one.tag == "article":
-            within = _above(one.parent, ("article",)) is not None
-            stays = not (plain or within)
+            stays = not (plain or article.get(one.parent, False))
         else:
             heads = marks.get(one, set()) - ({"article"} if one.names & COMMENTS else set())
-            alike = heads or (one.names <= SHARED_NAMES and paragraphs.get(one, 0) > 1)
-            stays = "main" in heads or bool(alike and OUTSIDE * size.get(one, 0) > free)
-        above = one.parent
-        while stays and above is not None:
-            stays = not above.dropped
-            above = above.parent
-        one.dropped = not stays
-        if stays:
-            free += own.get(one, 0)
+            alike = heads or (one.names <= SHARED_NAMES and paragraphs[one] > 1)
+            stays = "main" in heads or bool(alike and OUTSIDE * size[one] > free)
+        # Elements around this one are as large at least, and come before it.
+        above = nearest.get(one.parent)
+        gone[one] = not stays or (above is not None and gone[above])
+        one.dropped = gone[one]
+        if not gone[one]:
+            free += own[one]
 
 
 def _scored(root: Element) -> Element | None:
     """Pass the points of all paragraphs to their ancestors; the best element, if any."""
     best, touched = None, []
     for block, text, linked in _blocks(root):
-        one = block
-        while one is not None:
-            one.length += len(text)
-            one.linked += min(linked, len(text))
-            one = one.parent
+        block.length += len(text)
+        block.linked += min(linked, len(text))
         if len(text) < LEAST:
             continue
         points = 1 + text.count(",") + min(len(text) / 100, 3)
@@ -296,12 +314,20 @@ def _scored(root: Element) -> Element | None:
         )
         one, share = (block.parent if inner else block), 1.0
         level = 0
-        while one is not None and one.tag not in ("html", "#root"):
+        while one is not None and one.tag not in ("html", "#root") and level < LEVELS:
             one.score += points * share
             touched.append(one)
             level += 1
             share = 0.5 if level == 1 else 1 / (3 * level)
             one = one.parent
+    order, stack = [], [root]
+    while stack:
+        order.append(stack.pop())
+        stack += [c for c in order[-1].children if isinstance(c, Element)]
+    for one in reversed(order):
+        if one.parent:
+            one.parent.length += one.length
+            one.parent.linked += one.linked
     for one in touched:
         if best is None or _weight(one) > _weight(best):
             best = one
@@ -336,7 +362,7 @@ def _kept(best: Element) -> list[Element]:
     return out
 
 
-def _links_only(block: Element, top: Element) -> bool:
+def _links_only(block: Element, top: Element, known: dict, follows: dict) -> bool:
     """Whether the block lies in a list, or a part below the top, that is made of links.
 
     An article keeps those, such as its references; other containers keep the
@@ -344,24 +370,32 @@ def _links_only(block: Element, top: Element) -> bool:
     """
     if top.tag == "article":
         return False
-    one, found = block, None
-    while one is not None and one is not top:
-        if one.tag in ("ul", "ol", "dl", "table", "div", "section") and one.length:
-            if one.linked > LINKED * one.length:
-                found = one
+    # What the elements up to the top have told before is kept with them.
+    path, one = [], block
+    while one is not None and one is not top and one not in known:
+        path.append(one)
         one = one.parent
+    found = None if one is None or one is top else known[one]
+    for one in reversed(path):
+        parts = one.tag in ("ul", "ol", "dl", "table", "div", "section") and one.length
+        if found is None and parts and one.linked > LINKED * one.length:
+            found = one
+        known[one] = found
     if found is None:
         return False
     if top.tag == "#root":
         return True
-    for other in found.parent.children:
-        if other is found:
-            break
-        if isinstance(other, Element) and not other.dropped:
-            alike = other.tag == "p" or other.tag == found.tag == "section"
-            if alike and other.length - other.linked >= LEAST:
-                return False
-    return True
+    if found not in follows:
+        follows[found] = False
+        for other in found.parent.children:
+            if other is found:
+                break
+            if isinstance(other, Element) and not other.dropped:
+                alike = other.tag == "p" or other.tag == found.tag == "section"
+                if alike and other.length - other.linked >= LEAST:
+                    follows[found] = True
+                    break
+    return not follows[found]
 
 
 def main_text(html: str | None) -> str:
@@ -371,12 +405,15 @@ def main_text(html: str | None) -> str:
     root = parse(html)
     _settle_names(root)
     best = _scored(root)
+    follows: dict[Element, bool] = {}
     if best is None:
+        known: dict[Element, Element | None] = {}
         blocks = [(b, t) for b, t, linked in _blocks(root) if linked < LINKED * len(t)]
-        return "\n".join(t for b, t in blocks if not _links_only(b, root))
+        return "\n".join(t for b, t in blocks if not _links_only(b, root, known, follows))
     lines = []
     for top in _kept(best):
-        lines += [t for b, t, _ in _blocks(top) if not _links_only(b, top)]
+        known = {}
+        lines += [t for b, t, _ in _blocks(top) if not _links_only(b, top, known, follows)]
     return "\n".join(lines)
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -282,6 +283,27 @@ def test_main_text(spark):
     assert main_text.main_text("x < y " + unescape("&amp;")) == "x < y &"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p>some text</p>" + "<a " * 100_000,
+        "<div>" * 50_000 + "some text, long enough to count here" + "</div>" * 50_000,
+        "<div class=sidebar>" * 20_000 + "<p>some text, long enough to count here</p>",
+        "<div>" * 20_000 + "</b></li><li>some text" * 20_000,
+        "<h1>some text</h1></p>" * 30_000,
+    ],
+)
+def test_odd_pages_take_linear_time(page):
+    began = time.perf_counter()
+    main_text.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
+def test_formulas_stay():
+    page = "<article><p>Let <math><mi>x</mi></math> be a number, as in <object>this</object>.</p></article>"
+    assert main_text.main_text(page).split() == "Let x be a number, as in this .".split()
+
+
 def test_main_text_in_named_containers():
     first = "The first paragraph tells, at some length, what happened."
     second = "The second paragraph says why, and what came of it later."
