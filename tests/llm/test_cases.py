@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sparkloom.llm import (
+    catalog,
     cover_tree,
     linear_text,
     main_text,
@@ -522,3 +523,10 @@ def test_pipeline_run(spark, tmp_path):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0, name
+
+
+@pytest.mark.parametrize("key", ["op1_sharding", "op4_mixing", "op10_secret_scan"])
+def test_native_queries_have_no_python(spark, key):
+    frame_ = catalog.queries()[key](spark, "/root/testdata/sf0.001")
+    plan = frame_._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoopJoin", plan)
