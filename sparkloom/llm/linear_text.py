@@ -12,6 +12,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
 from . import words
 from .hashing import unit
 
@@ -19,7 +20,6 @@ UNKNOWN = "und"
 BUCKETS = 1 << 14
 WIDTH = 16  # of an embedding
 PER_LABEL = 500  # labelled texts per label that training takes, as an expected number
-LABELS = 100  # most frequent labels that can be learned
 EPOCHS = 6
 BATCH = 32
 RATE = 0.1
@@ -163,14 +163,17 @@ def _features(buckets: int):
 
 
 def _sample(docs: DataFrame, per_label: int, seed: int) -> DataFrame:
-    """Labelled texts, about ``per_label`` of each label, chosen by hash of the key."""
-    counts = docs.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS)
+    """Labelled texts, about ``per_label`` of each label, chosen by hash of the key.
+
+    The counts are written first, so that Spark knows their size and moves no texts.
+    """
+    counts = Scratch(docs.sparkSession, "labels").write(docs.groupBy("label").count(), "counts")
     chance = counts.select(
         F.col("label").alias("of"), (F.lit(float(per_label)) / F.col("count")).alias("chance")
     )
     return (
         docs.withColumn("u", unit(F.col("key"), seed))
-        .join(F.broadcast(chance), F.col("label") == F.col("of"))
+        .join(chance, F.col("label") == F.col("of"))
         .where("u < chance")
         .select("key", "label", "text")
     )
@@ -237,9 +240,10 @@ def train(
 ) -> Model:
     """Fit on a bounded sample of the labelled texts, about ``per_label`` per label.
 
-    Rows without text or label, and texts without letters, teach nothing. What
-    reaches the driver is at most two rows of bucket shares per sampled text,
-    however long. The result depends on the rows, not on their order.
+    Rows without text or label, and texts without letters, teach nothing. Every
+    label is learned, however many there are; the model has a number per bucket
+    and label. What reaches the driver is at most two rows of bucket shares per
+    sampled text, however long. The result depends on the rows, not on their order.
     """
     known = docs.select(
         F.col(key).alias("key"), F.col(label).alias("label"), F.col(text).alias("text")

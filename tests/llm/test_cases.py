@@ -239,6 +239,20 @@ def test_language(spark):
     assert linear_text.predict(docs.limit(0), model).count() == 0
 
 
+def test_language_learns_every_label(spark):
+    draw = np.random.default_rng(4)
+    rows = []
+    for label in range(120):
+        letters = draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 6, replace=False)
+        stems = ["".join(draw.choice(letters, 5)) for _ in range(8)]
+        rows += [(len(rows) + i, " ".join(draw.choice(stems, 20)), f"l{label:03}", "s", 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = linear_text.train(docs, "doc_id", "text", "lang")
+    assert model.labels == [f"l{label:03}" for label in range(120)]
+    got = {r["doc_id"]: r["lang_pred"] for r in linear_text.predict(docs, model).collect()}
+    assert sum(got[r[0]] == r[2] for r in rows) >= 0.95 * len(rows)
+
+
 def test_quality(spark):
     draw = np.random.default_rng(2)
     rows, labels = [], []
