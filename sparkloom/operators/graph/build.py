@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from math import gcd
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ...scratch import Scratch
 from ..joins import join_group_rows
 
-# Fixed values of the arithmetic coin: a prime modulus and multipliers below
+# Fixed values of the arithmetic hash: a prime modulus and multipliers below
 # 2**29, so that every product stays inside a signed 64-bit integer.
-COIN_MODULUS = 2_147_483_647
-COIN_FACTORS = (469_762_049, 167_772_161, 377_487_361)
+MODULUS = 2_147_483_647
+FACTORS = (469_762_049, 167_772_161, 377_487_361)
+
+MEETING = 4  # free places that meet in a group, as an expected number
+ROUNDS = 8
 
 
 def normalize_edges(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
@@ -59,56 +61,77 @@ def edges_from_shared_key(df: DataFrame, *, key: str, item: str) -> DataFrame:
 
 
 def generate_graph(
-    spark: SparkSession, n: int, max_degree: int, seed: int = 123
+    spark: SparkSession, n: int, max_degree: int, seed: int = 123, rounds: int = ROUNDS
 ) -> tuple[DataFrame, DataFrame]:
     """A pseudo-random simple graph on ids ``0..n-1`` with no degree above ``max_degree``.
 
-    Every id may be linked to the ``max_degree // 2`` ids that follow it on a
-    ring (and, for odd degrees, to the one opposite); a coin per candidate
-    keeps about half of them. A node takes part in at most ``max_degree``
-    candidates, so the cap needs no bookkeeping and the whole generation runs
-    without a shuffle. A seeded relabelling spreads neighbours over all ids.
+    A node has ``max_degree`` places for links. In each round all free places are
+    dealt to groups of about four by a hash of node, place and round, and
+    neighbours in the hashed order of a group are linked, so any two ids can meet.
+    A place takes part in one pair at most, so degrees stay within the limit.
+    Pairs of a node with itself and pairs that exist leave their places free for
+    the next round; a round settles about seven places in eight. It ends after
+    ``rounds``, or when a single node has places left, so of a sparse graph nearly
+    all nodes reach the limit.
+
+    Each round is written to the shared folder; the driver sees two counts of it.
     """
     if n <= 0:
         raise ValueError("the number of nodes must be positive")
     if max_degree < 0:
         raise ValueError("the maximum degree must not be negative")
-    max_degree = min(max_degree, n - 1)
-    stride, shift = relabelling(n, seed)
-    position = F.col("id")
-    none = F.array().cast("array<bigint>")
-    ring = none
-    if max_degree >= 2:
-        steps = F.sequence(F.lit(1), F.lit(max_degree // 2))
-        ring = F.transform(steps, lambda step: F.pmod(position + step, F.lit(n)))
-    if max_degree % 2 and n % 2 == 0:
-        opposite = F.when(position < n // 2, F.array(position + n // 2))
-        ring = F.concat(ring, F.coalesce(opposite, none))
-    p, (fa, fb, fc) = COIN_MODULUS, COIN_FACTORS
-    i, j = F.col("id"), F.col("other")
-    mixed = F.pmod(F.pmod(i, F.lit(p)) * fa + F.pmod(j, F.lit(p)) * fb + (seed % p) * fc, F.lit(p))
-    heads = F.pmod(F.floor(F.pmod(mixed * mixed, F.lit(p)) / 1024), F.lit(2)) == 0
-
-    def label(x):
-        return F.pmod(x * stride + shift, F.lit(n)).cast("long")
-
-    pairs = spark.range(n).select("id", F.explode(ring).alias("other")).filter(heads)
+    scratch = Scratch(spark, "generate")
+    limit = min(max_degree, n - 1)
+    free = spark.range(n).select("id", F.lit(limit).cast("long").alias("free")).where("free > 0")
+    linked = spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))
+    for number in range(rounds):
+        facts = free.agg(F.count("*").alias("nodes"), F.sum("free").alias("places")).first()
+        if facts["nodes"] < 2:
+            break
+        met = scratch.write(_met(free, facts["places"], seed, number), f"met{number}")
+        # Late rounds meet few pairs, which Spark may send to the links instead.
+        known = linked.join(met, ["u", "v"], "left_semi")
+        fresh = scratch.write(met.join(known, ["u", "v"], "left_anti"), f"linked{number}")
+        used = fresh.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").count()
+        rest = F.col("free") - F.coalesce("count", F.lit(0))
+        free = free.join(used, "id", "left").select("id", rest.alias("free")).where("free > 0")
+        free = scratch.write(free, f"free{number}")
+        linked = linked.union(fresh)
     both = F.array(
-        F.struct(label(i).alias("src"), label(j).alias("dst")),
-        F.struct(label(j).alias("src"), label(i).alias("dst")),
+        F.struct(F.col("u").alias("src"), F.col("v").alias("dst")),
+        F.struct(F.col("v").alias("src"), F.col("u").alias("dst")),
+    )
+    return spark.range(n).withColumn("color", F.lit(-1)), linked.select(F.inline(both))
+
+
+def _met(free: DataFrame, places: int, seed: int, number: int) -> DataFrame:
+    """Distinct pairs ``u < v`` of nodes whose free places meet in a round."""
+    turn = seed % MODULUS + 2 * number
+    groups = max(1, places // MEETING)
+    stubs = free.select("id", F.explode(F.sequence(F.lit(1).cast("long"), "free")).alias("place"))
+    mixed = stubs.select("id", "place", _dealt(turn).alias("a"), _dealt(turn + 1).alias("b"))
+    for _ in range(2):
+        mixed = mixed.select("id", "place", _fifth("a").alias("a"), _fifth("b").alias("b"))
+    dealt = mixed.withColumn("group", F.pmod(F.col("a") * MODULUS + F.col("b"), F.lit(groups)))
+    order = Window.partitionBy("group").orderBy("b", "a", "id", "place")
+    other = F.lead("id").over(order)
+    rows = dealt.select("id", other.alias("other"), F.row_number().over(order).alias("nr"))
+    return (
+        rows.where("nr % 2 = 1 AND id <> other")
+        .select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v"))
+        .distinct()
     )
-    nodes = spark.range(n).withColumn("color", F.lit(-1))
-    return nodes, pairs.select(F.inline(both))
 
 
-def relabelling(n: int, seed: int) -> tuple[int, int]:
-    """Stride (coprime to ``n``) and shift of the permutation ``x -> (x * stride + shift) % n``.
+def _dealt(turn: int) -> Column:
+    """A number below the modulus from node, place and turn; ids of any size count whole."""
+    p, (fa, fb, fc) = F.lit(MODULUS), FACTORS
+    high = F.pmod(F.shiftright("id", 31) + F.lit(turn), p)
+    return F.pmod(F.pmod("id", p) * fa + F.pmod("place", p) * fb + high * fc, p)
 
-    The stride starts near the golden section of ``n``, so that ids next to
-    each other on the ring end up far apart. It is kept small enough for
-    ``x * stride`` to stay inside a signed 64-bit integer.
-    """
-    stride = min(max(1, int(n * 0.618) + seed % max(1, n // 10)), 2**61 // n)
-    while gcd(stride, n) != 1:
-        stride += 1
-    return stride, seed % n
+
+def _fifth(name: str) -> Column:
+    """The fifth power and a shift, which permute the numbers below the modulus."""
+    x, p = F.col(name), F.lit(MODULUS)
+    square = F.pmod(x * x, p)
+    return F.pmod(F.pmod(square * square, p) * x + FACTORS[0], p)

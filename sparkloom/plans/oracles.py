@@ -314,30 +314,56 @@ affected AS MATERIALIZED (
 )"""
 
 
-# Seven candidates per node: three steps each way on the ring and the opposite node.
-GENERATED = """WITH size AS (SELECT count(DISTINCT p_partkey) AS n FROM part),
-ring AS (
-  SELECT n, (SELECT min(s) FROM (SELECT unnest(range(0, 1000)) AS k) t,
-                    LATERAL (SELECT CAST(floor(n * CAST(0.618 AS DOUBLE)) AS BIGINT)
-                                    + 123 % (n // 10) + k AS s) v
-             WHERE gcd(s, n) = 1) AS stride, 123 % n AS shift
-  FROM size
-),
-candidates AS (
-  SELECT i, (i + unnest([1, 2, 3])) % n AS j FROM (SELECT unnest(range(0, n)) AS i, n FROM ring)
-  UNION ALL
-  SELECT i, i + n // 2 FROM (SELECT unnest(range(0, n)) AS i, n FROM ring)
-  WHERE n % 2 = 0 AND i < n // 2
-),
-mixed AS (
-  SELECT i, j, (CAST(i AS BIGINT) % 2147483647 * 469762049 + j % 2147483647 * 167772161 + CAST(123 AS BIGINT) * 377487361)
-               % 2147483647 AS m FROM candidates
-),
-chosen AS (
-  SELECT (i * stride + shift) % n AS x, (j * stride + shift) % n AS y
-  FROM mixed, ring WHERE ((m * m) % 2147483647 // 1024) % 2 = 0
-)
-SELECT x AS src, y AS dst FROM chosen UNION ALL SELECT y, x FROM chosen"""
+
+
+def _generated_sql(degree: int = 7, seed: int = 123, rounds: int = 8) -> str:
+    """Pairs of free places that meet by a hash of node, place and round."""
+    p = 2147483647
+
+    def fifth(name: str) -> str:
+        return f"((({name} * {name} % {p}) * ({name} * {name} % {p})) % {p} * {name} + 469762049) % {p}"
+
+    def dealt(turn: int) -> str:
+        return (
+            f"(id % {p} * 469762049 + place % {p} * 167772161"
+            f" + ((id >> 31) + {turn}) % {p} * 377487361) % {p}"
+        )
+
+    steps = [
+        "size AS (SELECT count(DISTINCT p_partkey) AS n FROM part)",
+        f"free0 AS (SELECT CAST(unnest(range(0, n)) AS BIGINT) AS id, least({degree}, n - 1) AS free"
+        " FROM size)",
+        "all0 AS (SELECT id AS u, id AS v FROM free0 WHERE false)",
+    ]
+    for r in range(rounds):
+        turn = seed + 2 * r
+        steps.append(f"""
+        stubs{r} AS (SELECT id, unnest(range(1, free + 1)) AS place FROM free{r}),
+        first{r} AS (SELECT id, place, {dealt(turn)} AS a, {dealt(turn + 1)} AS b FROM stubs{r}),
+        second{r} AS (SELECT id, place, {fifth("a")} AS a, {fifth("b")} AS b FROM first{r}),
+        third{r} AS (SELECT id, place, {fifth("a")} AS a, {fifth("b")} AS b FROM second{r}),
+        dealt{r} AS (
+          SELECT *, (a * {p} + b) % greatest(1, (SELECT sum(free) // 4 FROM free{r})) AS team
+          FROM third{r}
+        ),
+        met{r} AS (
+          SELECT DISTINCT least(id, other) AS u, greatest(id, other) AS v FROM (
+            SELECT id, lead(id) OVER w AS other, row_number() OVER w AS nr FROM dealt{r}
+            WINDOW w AS (PARTITION BY team ORDER BY b, a, id, place)
+          ) WHERE nr % 2 = 1 AND id <> other
+        ),
+        fresh{r} AS MATERIALIZED (SELECT u, v FROM met{r} EXCEPT SELECT u, v FROM all{r}),
+        all{r + 1} AS MATERIALIZED (SELECT * FROM all{r} UNION ALL SELECT * FROM fresh{r}),
+        free{r + 1} AS MATERIALIZED (
+          SELECT id, free - coalesce(used, 0) AS free FROM free{r} LEFT JOIN (
+            SELECT id, count(*) AS used
+            FROM (SELECT u AS id FROM fresh{r} UNION ALL SELECT v FROM fresh{r}) GROUP BY id
+          ) USING (id) WHERE free > coalesce(used, 0)
+        )""")
+    return (
+        f"WITH {', '.join(steps)} SELECT u AS src, v AS dst FROM all{rounds}"
+        f" UNION ALL SELECT v, u FROM all{rounds}"
+    )
 
 
 def _union(parts: list[str]) -> str:
@@ -667,5 +693,5 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT row_number() OVER (ORDER BY o) - 1 AS seq, type, CAST(a AS BIGINT) AS a,
                    CAST(b AS BIGINT) AS b, neighbors FROM steps""",
-        "graph_generate": GENERATED,
+        "graph_generate": _generated_sql(),
     }

@@ -185,8 +185,25 @@ def test_generate_depends_on_seed_only(spark):
         return {tuple(r) for r in graph.generate_graph(spark, 200, 8, seed)[1].collect()}
 
     assert pairs(1) == pairs(1) != pairs(2)
-    # About half of the 800 candidate pairs are kept.
-    assert 500 < len(pairs(1)) < 1100
+    assert 1500 < len(pairs(1)) <= 1600
+
+
+@pytest.mark.parametrize("n,degree", [(501, 7), (400, 6)])
+def test_generate_reaches_the_limit_between_any_ids(spark, n, degree):
+    nodes, edges = graph.generate_graph(spark, n, degree, seed=9)
+    degrees = [r["degree"] for r in graph.degrees(nodes, edges).collect()]
+    assert max(degrees) == degree and sum(d == degree for d in degrees) >= 0.98 * n
+    # Distances between linked ids are spread evenly, on the ring and in parity.
+    apart = [(b - a) % n for a, b in edges.collect()]
+    quarters = [sum(q * n <= 4 * d < (q + 1) * n for d in apart) / len(apart) for q in range(4)]
+    assert all(0.2 < q < 0.3 for q in quarters)
+    assert 0.42 < sum(d % 2 for d in apart) / len(apart) < 0.58
+
+
+def test_generate_links_two_nodes_once(spark):
+    nodes, edges = graph.generate_graph(spark, 2, 1, seed=3)
+    assert {tuple(r) for r in edges.collect()} == {(0, 1), (1, 0)}
+    assert graph.generate_graph(spark, 5, 0)[1].count() == 0
 
 
 @pytest.mark.parametrize("n,degree", [(0, 1), (5, -1)])
