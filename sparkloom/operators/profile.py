@@ -15,6 +15,8 @@ NUMERIC_TYPES = ("integer", "long", "float", "double")
 FRACTION = 52
 DIGIT = 13
 
+SKETCH_ERROR = 0.02  # relative standard deviation of sketched numbers of distinct values
+
 
 def _columns_of(df: DataFrame, kinds: Sequence[str], columns: Sequence[str] | None) -> list[str]:
     chosen = df.columns if columns is None else list(columns)
@@ -30,22 +32,68 @@ def _rows_of(wide: DataFrame, structs: list[Column]) -> DataFrame:
     return wide.select(F.inline(F.array(*structs)))
 
 
-def profile_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: type, rows, nulls, non-nulls, distinct values (null counts as one)."""
+def _text(df: DataFrame, name: str) -> Column:
+    """A value as text, equal exactly where the values are."""
+    column, kind = _quoted(name), df.schema[name].dataType.typeName()
+    if kind in ("float", "double"):
+        return (column + F.lit(0.0).cast(kind)).cast("string")  # one zero instead of two
+    if kind == "binary":
+        return F.hex(column)
+    return F.to_json(column) if kind in ("struct", "array", "variant") else column.cast("string")
+
+
+def profile_counts(
+    df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
+) -> DataFrame:
+    """Per column: type, rows, nulls, non-nulls, distinct values (null counts as one).
+
+    Values are counted as ``(column number, text)``, which combine before the one
+    shuffle they need, and a frequent value or null arrives once per task.
+    ``approximate`` counts distinct values by mergeable sketches instead: one pass
+    whose shuffle does not grow with the values.
+    """
     names = df.columns if columns is None else list(columns)
+    if not names:
+        raise ValueError("there must be a column to profile")
+    types = [df.schema[name].dataType.typeName() for name in names]
+    if approximate:
+        return _sketched_counts(df, names, types)
+    cells = [
+        F.struct(F.lit(i).alias("number"), _text(df, name).alias("value"))
+        for i, name in enumerate(names)
+    ]
+    values = df.select(F.inline(F.array(*cells))).groupBy("number", "value")
+    counts = values.agg(F.count("*").alias("rows")).groupBy("number").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("rows"))).alias("nulls"),
+        F.count("*").alias("distinct"),
+    )
+    # An empty table has no values, so the columns come from the list of names.
+    listed = df.sparkSession.range(len(names)).select(
+        F.col("id").cast("int").alias("number"),
+        F.element_at(F.array(*map(F.lit, names)), (F.col("id") + 1).cast("int")).alias("column"),
+        F.element_at(F.array(*map(F.lit, types)), (F.col("id") + 1).cast("int")).alias("data_type"),
+    )
+    zero = F.lit(0).cast("long")
+    rows, nulls = F.coalesce("rows", zero), F.coalesce("nulls", zero)
+    return listed.join(counts, "number", "left").select(
+        "column", "data_type", rows.alias("row_count"), nulls.alias("null_count"),
+        (rows - nulls).alias("non_null_count"), F.coalesce("distinct", zero).alias("distinct_count"),
+    )
+
+
+def _sketched_counts(df: DataFrame, names: Sequence[str], types: Sequence[str]) -> DataFrame:
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, name in enumerate(names):
-        aggregates += [
-            F.count(_quoted(name)).alias(f"filled{i}"),
-            F.count_distinct(_quoted(name)).alias(f"distinct{i}"),
-        ]
+        sketch = F.approx_count_distinct(_text(df, name), SKETCH_ERROR)
+        aggregates += [F.count(_quoted(name)).alias(f"filled{i}"), sketch.alias(f"distinct{i}")]
     structs = []
-    for i, name in enumerate(names):
+    for i, (name, kind) in enumerate(zip(names, types, strict=True)):
         nulls = F.col("n") - F.col(f"filled{i}")
         structs.append(
             F.struct(
                 F.lit(name).alias("column"),
-                F.lit(df.schema[name].dataType.typeName()).alias("data_type"),
+                F.lit(kind).alias("data_type"),
                 F.col("n").alias("row_count"),
                 nulls.alias("null_count"),
                 F.col(f"filled{i}").alias("non_null_count"),
@@ -55,6 +103,21 @@ def profile_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return _rows_of(df.agg(*aggregates), structs)
 
 
+def distinct_count_errors(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column: whether the sketched number of distinct values is near the exact one.
+
+    Near is within four times the sketch's relative standard deviation.
+    """
+    exact = profile_counts(df, columns)
+    sketched = profile_counts(df, columns, approximate=True)
+    sketched = sketched.select("column", F.col("distinct_count").alias("estimate"))
+    off = F.abs(F.col("estimate") - F.col("distinct_count"))
+    return exact.join(sketched, "column").select(
+        "column", "distinct_count",
+        (off <= F.ceil(F.col("distinct_count") * (4 * SKETCH_ERROR))).alias("near"),
+    )
+
+
 def profile_numeric(
     df: DataFrame,
     columns: Sequence[str] | None = None,

@@ -18,6 +18,7 @@ from ..scratch import Scratch
 from ..sources import reports
 from ..sources.graph_files import read_changes, read_graph, write_coloring, write_graph
 from ..sources.tables import parse_csv
+from ..streaming.change_stream import stream_changes
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,6 +244,35 @@ def _report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _change_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log as a stream that arrives in parts: the graph it ends in, and conflicts.
+
+    Every part is a file folder of its own, read by a query that goes on from the
+    checkpoint of the one before. Conflicts of the colouring would be rows too.
+    """
+    nodes, edges, log = _graph_and_log(spark, sf)
+    folder = Scratch(spark, "change_stream").path
+    first = graph.color_graph(nodes, edges, stored=True)
+    first.colors.write.parquet(f"{folder}/state/version=0/nodes")
+    edges.write.parquet(f"{folder}/state/version=0/edges")
+    half = log.approxQuantile("seq", [0.5], 0.01)[0]
+    for part in (log.where(F.col("seq") <= half), log.where(F.col("seq") > half)):
+        part.write.mode("append").json(f"{folder}/log")
+        stream_changes(
+            spark, f"{folder}/log", f"{folder}/state", first.best_k,
+            checkpoint_dir=f"{folder}/checkpoint", allow_new_colors=True,
+        ).awaitTermination()
+    nodes = spark.read.schema("id long, color int").parquet(f"{folder}/state/version=2/nodes")
+    edges = spark.read.schema("src long, dst long").parquet(f"{folder}/state/version=2/edges")
+    null = F.lit(None).cast("bigint").alias("b")
+    wrong = graph.conflict_sample(nodes, edges).select(F.lit("conflict"), "u", "v")
+    return (
+        edges.select(F.lit("edge").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"))
+        .unionByName(nodes.select(F.lit("node").alias("kind"), F.col("id").alias("a"), null))
+        .union(wrong)
+    )
+
+
 def _demo_changes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     log = graph.demo_changes(nodes, edges)
     return log.withColumn("neighbors", F.array_join("neighbors", ","))
@@ -265,6 +295,9 @@ def queries() -> dict[str, Query]:
         "profile_counts": on_raw(
             lambda d: profile.profile_counts(d, ["album", "line", "genre", *FEATURES])
         ),
+        "profile_counts_sketch": on_raw(
+            lambda d: profile.distinct_count_errors(d, ["album", "line", "genre", *FEATURES])
+        ),
         "profile_numeric": on_items(_numeric),
         "profile_numeric_spread": on_items(_spread),
         "profile_percentile_rank": on_items(
@@ -361,6 +394,7 @@ def queries() -> dict[str, Query]:
         "change_log_round_trip": _change_log,
         "change_log_array": _change_log_array,
         "coloring_round_trip": _coloring_json,
+        "change_stream": _change_stream,
         "graph_demo_changes": on_graph(_demo_changes),
         "graph_generate": _generate,
     }

@@ -435,6 +435,8 @@ def oracle_sql() -> dict[str, str]:
                    a - c AS removed_total, c AS rows_out FROM sizes""",
         # profiles
         "profile_counts": _counts_sql(),
+        "profile_counts_sketch": f"""SELECT "column", distinct_count, true AS near
+            FROM ({_counts_sql()})""",
         "profile_numeric": _numeric_sql(
             ["score", "feature_a", "feature_b", "tempo", "duration", "album"], True
         ),
@@ -616,6 +618,9 @@ def oracle_sql() -> dict[str, str]:
         "graph_apply_changes": f"""WITH {GRAPH}, {CHANGES}
             SELECT 'edge' AS kind, src AS a, dst AS b FROM edges2
             UNION ALL SELECT 'node', id, NULL FROM nodes2""",
+        "change_stream": f"""WITH {GRAPH}, {CHANGES}
+            SELECT 'edge' AS kind, src AS a, dst AS b FROM edges2
+            UNION ALL SELECT 'node', id, NULL FROM nodes2""",
         "graph_affected": f"WITH {GRAPH}, {CHANGES} SELECT id FROM affected",
         "graph_recolor": f"""WITH RECURSIVE {COLORED}, {CHANGES},
             reset AS MATERIALIZED (

@@ -81,6 +81,30 @@ def test_profile_counts(mixed):
     }
 
 
+def test_profile_counts_of_odd_values(spark):
+    nan, zero = float("nan"), 0.0
+    rows = [
+        (nan, bytearray(b"a"), [1, None], (None, 1), "null"),
+        (nan, bytearray(b"A"), [1], (None, 1), "null"),
+        (zero, None, None, None, None), (-zero, bytearray(b"a"), [1, None], (1, None), "NULL"),
+    ]
+    schema = "d double, b binary, a array<int>, s struct<x:int,y:int>, t string"
+    df = spark.createDataFrame(rows, schema)
+    got = {r["column"]: tuple(r)[2:] for r in profile.profile_counts(df).collect()}
+    three = (4, 1, 3, 3)
+    assert got == {"d": (4, 0, 4, 2), "b": three, "a": three, "s": three, "t": three}
+    sketched = profile.profile_counts(df, approximate=True).collect()
+    assert {r["column"]: tuple(r)[2:] for r in sketched} == got
+    empty = profile.profile_counts(df.limit(0)).collect()
+    assert {tuple(r)[2:] for r in empty} == {(0, 0, 0, 0)} and len(empty) == 5
+
+
+def test_profile_counts_needs_no_expand(spark):
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
+    plan = profile.profile_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("HashAggregate(keys=[number") >= 4
+
+
 def test_profile_numeric(mixed):
     got = {r["column"]: r for r in profile.profile_numeric(mixed).collect()}
     assert set(got) == {"odd name", "x"}
