@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,30 +25,98 @@ def best_fit(
     """Bin and offset of each size, and the length of each bin; sizes descend.
 
     A piece goes to the open bin that it leaves with the least room. If none has
-    room, a bin is opened with the length of least cost, its length plus
-    ``overhead``, per unit that it can hold: what fits of all that is still to be
-    packed. In the end each bin shrinks to the least length that holds it.
+    room, a bin is opened with the length of least cost, as :func:`_opener` expects
+    it from the sizes that remain. In the end each bin shrinks to the least length
+    that holds it. The same is done with every single length as the only one opened
+    for pieces that fit it, and the packing whose bins cost least in all is returned,
+    the mixed one first.
     """
     capacities = sorted(capacities)
-    left = sum(sizes)
+    found = _packing(sizes, capacities, _opener(sizes, capacities, overhead))
+    for fixed in capacities:
+
+        def open_fixed(at: int, room: int, fixed: int = fixed) -> int:
+            return max(fixed, _least(capacities, sizes[at]))
+
+        found = min(found, _packing(sizes, capacities, open_fixed), key=lambda p: cost(p[2], overhead))
+    return found
+
+
+def cost(lengths: Sequence[int], overhead: int = OVERHEAD) -> int:
+    """What bins of these lengths cost."""
+    return sum(lengths) + overhead * len(lengths)
+
+
+def _least(capacities: Sequence[int], size: int) -> int:
+    return capacities[bisect_left(capacities, size)]
+
+
+def _packing(
+    sizes: Sequence[int], capacities: Sequence[int], opened: Callable[[int, int], int]
+) -> tuple[list[int], list[int], list[int]]:
+    """Best fit with downsizing; ``opened(at, room)`` gives the length of a bin for ``sizes[at]``.
+
+    ``room`` is what all open bins can still hold.
+    """
     rooms: list[tuple[int, int]] = []  # (room, bin), ascending
     bins, offsets, used = [], [], []
-    for size in sizes:
+    open_room = 0
+    for i, size in enumerate(sizes):
         at = bisect_left(rooms, (size, -1))
         if at < len(rooms):
             room, number = rooms.pop(at)
         else:
-            fitting = [c for c in capacities if c >= size]
-            room = min(fitting, key=lambda c: ((c + overhead) / max(min(c, left), size, 1), c))
+            room = opened(i, open_room)
+            open_room += room
             number = len(used)
             used.append(0)
         bins.append(number)
         offsets.append(used[number])
         used[number] += size
-        left -= size
+        open_room -= size
         if room > size:
             insort(rooms, (room - size, number))
-    return bins, offsets, [capacities[bisect_left(capacities, u)] for u in used]
+    return bins, offsets, [_least(capacities, u) for u in used]
+
+
+def _opener(
+    sizes: Sequence[int], capacities: Sequence[int], overhead: int
+) -> Callable[[int, int], int]:
+    """Chooses the length that is expected to cost least per word it will hold.
+
+    What a length will hold is the piece, and of the smaller ones still to come
+    the largest that fit one after another, but no more words than the open
+    bins leave over. Its cost is that of the length it will shrink to.
+    """
+    kinds = sorted(set(sizes))
+    counts = Counter(sizes)
+    left = sum(sizes)
+    done = 0
+
+    def filled(room: int) -> int:
+        words, at = 0, bisect_right(kinds, room) - 1
+        while at >= 0:
+            taken = min(counts[kinds[at]], room // kinds[at]) * kinds[at]
+            words += taken
+            room -= taken
+            at = bisect_right(kinds, room, 0, at) - 1
+        return words
+
+    def opened(at: int, open_room: int) -> int:
+        nonlocal left, done
+        for size in sizes[done : at + 1]:
+            counts[size] -= 1
+            left -= size
+        done = at + 1
+        size, over = sizes[at], max(0, left - open_room)
+
+        def expected(length: int) -> tuple[float, int]:
+            words = size + min(filled(length - size), over)
+            return (_least(capacities, words) + overhead) / words, length
+
+        return min((c for c in capacities if c >= size), key=expected)
+
+    return opened
 
 
 def _packed(capacities: Sequence[int], overhead: int):

@@ -7,6 +7,8 @@ counts over labelled samples; all of it is SQL functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,32 +31,127 @@ SMOOTHING = 20  # pairs that a character's row is taken to have from the model's
 DRAWN = 3000  # random strings drawn for the sample
 SAMPLED = 2000  # documents, as an expected number, that ordinary identifiers are taken from
 MASK = "[SECRET]"
+FAR = 2**31 - 1  # beyond every place in a text
+PIECE_BITS = 10
+PIECE = f"(?s).{{1,{1 << PIECE_BITS}}}"  # a text is cut into pieces of this many code points
 
 
-def spans(text: Column, pattern: str, group: int, least: int) -> Column:
-    """Start and end, in code points, of the leftmost matches whose group is long enough.
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(values: Column, combine: Callable[[Column, Column], Column], zero: int) -> Column:
+    """For each whole number of an array, all before it combined, from ``zero``.
+
+    Arrays grow by copies, so the numbers are taken in pieces of about the square
+    root of their count: first inside each piece, then over the pieces.
+    """
+    none = F.array().cast("array<int>")
+
+    def over(part: Column) -> Column:
+        start = F.struct(F.lit(zero).alias("at"), none.alias("before"))
+        return F.aggregate(
+            part, start,
+            lambda state, x: F.struct(
+                combine(state["at"], x).alias("at"),
+                F.concat(state["before"], F.array(state["at"])).alias("before"),
+            ),
+        )
+
+    def pieces(whole: Column) -> Column:
+        side = F.ceil(F.sqrt(F.size(whole))).cast("int")
+        last = F.ceil(F.size(whole) / side).cast("int") - 1
+        return F.transform(
+            F.sequence(F.lit(0), last), lambda i: over(F.slice(whole, i * side + 1, side))
+        )
+
+    def joined(parts: Column) -> Column:
+        ahead = over(F.transform(parts, lambda part: part["at"]))["before"]
+        return F.flatten(
+            F.zip_with(
+                parts, ahead,
+                lambda part, at: F.transform(part["before"], lambda x: combine(at, x)),
+            )
+        )
+
+    return _let(
+        values, lambda whole: F.when(F.size(whole) > 0, _let(pieces(whole), joined)).otherwise(none)
+    )
+
+
+def matches(text: Column, pattern: str, group: int, least: int) -> Column:
+    """Start, end (in code points) and text of the leftmost matches whose group is long enough.
 
     What lies between matches and the matches themselves give the places.
     """
     quoted = F.lit(pattern)
-    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, quoted, F.lit(0))
-    checked = F.regexp_extract_all(text, quoted, F.lit(group))
-    gaps = F.slice(between, F.lit(1), F.size(found))
-    rows = F.arrays_zip(gaps.alias("gap"), found.alias("found"), checked.alias("checked"))
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
+    rows = F.arrays_zip(
+        F.split(text, pattern, -1).alias("gap"),
+        F.regexp_extract_all(text, quoted, F.lit(0)).alias("found"),
+        F.regexp_extract_all(text, quoted, F.lit(group)).alias("checked"),
+    )
+
+    def placed(rows: Column) -> Column:
+        lengths = F.transform(rows, lambda r: F.length(r["gap"]) + F.length(r["found"]))
+
+        def span(row: Column, at: Column) -> Column:
+            start = at + F.length(row["gap"])
+            end = start + F.length(row["found"])
+            long_enough = F.length(row["checked"]) >= least
+            return F.struct(
+                start.alias("start"), end.alias("end"), row["found"].alias("text"), long_enough.alias("kept")
+            )
+
+        every = F.zip_with(rows, _before(lengths, lambda a, b: a + b, 0), span)
+        return F.transform(
+            F.filter(every, lambda s: s["kept"]),
+            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text")),
+        )
+
+    # One gap follows the last match.
+    return _let(F.filter(rows, lambda r: r["found"].isNotNull()), placed)
+
+
+def spans(text: Column, pattern: str, group: int, least: int) -> Column:
+    """Start and end, in code points, of the matches."""
+    return F.transform(
+        matches(text, pattern, group, least),
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")),
     )
 
-    def step(state: Column, row: Column) -> Column:
-        begin = state["at"] + F.length(row["gap"])
-        end = begin + F.length(row["found"])
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        longer = F.length(row["checked"]) >= least
-        kept = F.when(longer, F.concat(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
 
-    return F.aggregate(rows, start, step, lambda state: state["spans"])
+def _apart(runs: Column, others: Column) -> Column:
+    """The runs that overlap none of the others.
+
+    Of all spans in order of their starts, a run must begin at or after the last
+    end of the others before it and end at or before the first start after it.
+    """
+
+    def row(other: bool) -> Callable[[Column], Column]:
+        text = F.lit("") if other else None
+        return lambda s: F.struct(
+            s["start"].alias("start"), F.lit(0 if other else 1).alias("run"),
+            s["end"].alias("end"), (s["text"] if text is None else text).alias("text"),
+        )
+
+    every = F.array_sort(F.concat(F.transform(others, row(True)), F.transform(runs, row(False))))
+
+    def settled(rows: Column) -> Column:
+        ends = F.transform(rows, lambda r: F.when(r["run"] == 0, r["end"]).otherwise(0))
+        starts = F.transform(rows, lambda r: F.when(r["run"] == 0, r["start"]).otherwise(FAR))
+        ended = _before(ends, F.greatest, 0)
+        begun = F.reverse(_before(F.reverse(starts), F.least, FAR))
+        around = F.arrays_zip(rows.alias("row"), ended.alias("ended"), begun.alias("begun"))
+        free = F.filter(
+            around,
+            lambda a: (a["row"]["run"] == 1)
+            & (a["ended"] <= a["row"]["start"])
+            & (a["begun"] >= a["row"]["end"]),
+        )
+        return F.transform(free, lambda a: a["row"])
+
+    return _let(every, settled)
 
 
 def _none() -> Column:
@@ -188,18 +285,20 @@ def scan(
         samples = drawn_samples(docs.sparkSession).union(labelled_samples(docs, id_col, text_col))
     ratios = train(samples)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    runs = F.when(F.rlike(text, F.lit(RUN)), spans(text, RUN, 0, 20)).otherwise(_none())
-    out = docs.withColumns(_base(text)).withColumn("markov", runs)
-    base = F.concat("assign", "access", "hex")
+    out = docs.withColumns(_base(text))
 
     def random(run: Column) -> Column:
-        token = F.substring(text, run["start"] + 1, run["end"] - run["start"])
-        score = run_scores(token, ratios)
         pairs = run["end"] - run["start"] - 1
-        apart = ~F.exists(base, lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"]))
-        return apart & (score >= LEAST_TOTAL) & (score >= LEAST_PER_SIGN * pairs)
-
-    return out.withColumn("markov", F.filter("markov", random))
+        return _let(
+            run_scores(run["text"], ratios),
+            lambda score: (score >= LEAST_TOTAL) & (score >= LEAST_PER_SIGN * pairs),
+        )
+
+    runs = _apart(matches(text, RUN, 0, 20), F.concat("assign", "access", "hex"))
+    found = F.transform(
+        F.filter(runs, random), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
+    )
+    return out.withColumn("markov", F.when(F.rlike(text, F.lit(RUN)), found).otherwise(_none()))
 
 
 def _joined(kinds: list[str]) -> Column:
@@ -226,20 +325,38 @@ def digests(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def masked(scanned: DataFrame, text_col: str = "text") -> Column:
-    """The text of a row of :func:`scan` with every stretch of secrets replaced; null stays null."""
+    """The text of a row of :func:`scan` with every stretch of secrets replaced; null stays null.
+
+    The text is cut into pieces of fixed length first, so that each gap between
+    secrets is found without reading all that comes before it.
+    """
     text = F.col(text_col)
     every = F.array_sort(F.concat("assign", "access", "hex", "markov"))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        grown = F.when(
-            (span["start"] >= state["at"]) & (span["end"] > state["at"]),
-            F.concat(state["out"], gap, F.lit(MASK)),
-        ).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), grown.alias("out"))
+    def cut(pieces: Column, start: Column, end: Column) -> Column:
+        first = F.shiftright(start, PIECE_BITS)
+        count = F.shiftright(end - 1, PIECE_BITS) - first + 1
+        around = F.concat_ws("", F.slice(pieces, first + 1, F.greatest(count, F.lit(0))))
+        return F.when(
+            end > start,
+            F.substring(around, start - F.shiftleft(first, PIECE_BITS) + 1, end - start),
+        ).otherwise("")
+
+    def hidden(rows: Column) -> Column:
+        covered = _before(F.transform(rows, lambda r: r["end"]), F.greatest, 0)
+        around = F.zip_with(
+            rows, covered,
+            lambda r, at: F.struct(at.alias("at"), r["start"].alias("start"), r["end"].alias("end")),
+        )
+        opened = F.filter(around, lambda r: (r["start"] >= r["at"]) & (r["end"] > r["at"]))
+
+        def rebuilt(pieces: Column) -> Column:
+            parts = F.transform(
+                opened, lambda r: F.concat(cut(pieces, r["at"], r["start"]), F.lit(MASK))
+            )
+            last = F.array_max(F.transform(rows, lambda r: r["end"]))
+            return F.concat(F.array_join(parts, ""), cut(pieces, last, F.length(text)))
 
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
+        return _let(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), rebuilt)
 
-    return F.when(F.size(every) == 0, text).otherwise(F.aggregate(every, start, step, finish))
+    return F.when(F.size(every) == 0, text).otherwise(_let(every, hidden))

@@ -209,6 +209,60 @@ def test_packing(spark):
     assert packing.best_fit([6, 5, 4, 3], (10,), 0) == ([0, 1, 0, 1], [0, 0, 6, 5], [10, 10])
 
 
+def least_cost(sizes, capacities, overhead):
+    """The least cost of any way to put the sizes into bins that shrink to their contents."""
+    best = [float("inf")]
+
+    def place(at, used):
+        if at == len(sizes):
+            lengths = [min(c for c in capacities if c >= u) for u in used]
+            best[0] = min(best[0], packing.cost(lengths, overhead))
+            return
+        for i in range(len(used)):
+            if used[i] + sizes[at] <= max(capacities):
+                place(at + 1, [*used[:i], used[i] + sizes[at], *used[i + 1 :]])
+        place(at + 1, [*used, sizes[at]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packing_chooses_lengths_jointly():
+    draw = np.random.default_rng(8)
+    optimal = 0
+    for _ in range(150):
+        capacities, overhead = (8, 12, 20), int(draw.integers(0, 5))
+        sizes = sorted(draw.integers(1, 21, draw.integers(1, 7)).tolist(), reverse=True)
+        bins, offsets, lengths = packing.best_fit(sizes, capacities, overhead)
+        got = packing.cost(lengths, overhead)
+        least = least_cost(sizes, capacities, overhead)
+        assert least <= got <= 1.3 * least + overhead
+        optimal += got == least
+        ends = [offset + size for offset, size in zip(offsets, sizes, strict=True)]
+        for number, length in enumerate(lengths):
+            assert max(e for e, b in zip(ends, bins, strict=True) if b == number) <= length
+        for only in capacities:
+            single = packing._packing(
+                sizes, list(capacities), lambda i, room: max(only, min(c for c in capacities if c >= sizes[i]))
+            )
+            assert got <= packing.cost(single[2], overhead)
+    assert optimal >= 120
+    # Pieces of two lengths that go badly together open bins of both.
+    sizes = [700] * 40 + [500] * 41
+    opened = []
+    choose = packing._opener(sizes, [512, 1024, 1440], 16)
+
+    def seen(at, room):
+        opened.append(choose(at, room))
+        return opened[-1]
+
+    packing._packing(sizes, [512, 1024, 1440], seen)
+    assert len(set(opened)) >= 2
+    start = time.time()
+    packing.best_fit(sorted(draw.integers(1, 3000, 20_000).tolist(), reverse=True))
+    assert time.time() - start < 10
+
+
 def test_language(spark):
     parts = {"aa": "ka lo mi tu", "bb": "xer zon quil vast", "cc": "schru pfont grumm tz"}
     draw = np.random.default_rng(1)
@@ -439,6 +493,38 @@ def test_secrets(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_secrets_against_plain_python(spark):
+    """Places of many matches, overlaps with the base and masks, in texts long and short."""
+    draw = np.random.default_rng(4)
+    pieces = ["é", " ", "a" * 31, "0f" * 20, "AKIA" + "Q7" * 9, "token=", "gT7kQz9LpW2xVb4N" * 2, "\n", "𝄞 x", "secret: "]
+    texts = ["".join(draw.choice(pieces, draw.integers(1, 60))) for _ in range(200)]
+    many = "".join(f"{hashlib.md5(str(i).encode()).hexdigest()} é " for i in range(30_000))
+    found = secret_scan.scan(frame(spark, [*texts, many]))
+    columns = ["assign", "access", "hex", "markov", "text", secret_scan.masked(found).alias("clean")]
+    start = time.time()
+    rows = found.select("doc_id", *columns).collect()
+    assert time.time() - start < 60
+    run = re.compile(secret_scan.RUN)
+    for r in rows:
+        text = r["text"]
+        base = [(s["start"], s["end"]) for kind in ("assign", "access", "hex") for s in r[kind]]
+        assert [tuple(s) for s in r["hex"]] == [
+            m.span() for m in re.finditer("[0-9a-f]{32,}", text)
+        ]
+        runs = {m.span() for m in run.finditer(text)}
+        if r["doc_id"] < 200:
+            runs = {x for x in runs if all(b <= x[0] or x[1] <= a for a, b in base)}
+        markov = [(s["start"], s["end"]) for s in r["markov"]]
+        assert set(markov) <= runs and markov == sorted(markov)
+        clean, at = "", 0
+        for a, b in sorted(base + markov):
+            if a >= at and b > at:
+                clean += text[at:a] + secret_scan.MASK
+            at = max(at, b)
+        assert r["clean"] == clean + text[at:]
+    assert sum(len(r["markov"]) for r in rows) > 50
+
+
 def test_pipeline_stages(spark):
     near = PROSE.split()
     near[100] = "changed"
