@@ -8,12 +8,14 @@ from .build import edges_from_shared_key, generate_graph, nodes_of, normalize_ed
 from .changes import affected_nodes, apply_changes, check_changes, demo_changes
 from .coloring import Coloring, color_graph, color_histogram, coloring_rounds
 from .degree import degree_stats, degrees
-from .recolor import Recoloring, recolor, recolor_stepwise
+from .recolor import Recoloring, recolor, recolor_part, recolor_stepwise
 from .validate import conflict_sample, conflicts, validate
+from .versions import Versions
 
 __all__ = [
     "Coloring",
     "Recoloring",
+    "Versions",
     "affected_nodes",
     "apply_changes",
     "check_changes",
@@ -30,6 +32,7 @@ __all__ = [
     "nodes_of",
     "normalize_edges",
     "recolor",
+    "recolor_part",
     "recolor_stepwise",
     "validate",
 ]

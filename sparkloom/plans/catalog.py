@@ -18,7 +18,7 @@ from ..scratch import Scratch
 from ..sources import reports
 from ..sources.graph_files import read_changes, read_graph, write_coloring, write_graph
 from ..sources.tables import parse_csv
-from ..streaming.change_stream import stream_changes
+from ..streaming.change_stream import graph_versions, stream_changes
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,8 +253,8 @@ def _change_stream(spark: SparkSession, sf: str) -> DataFrame:
     nodes, edges, log = _graph_and_log(spark, sf)
     folder = Scratch(spark, "change_stream").path
     first = graph.color_graph(nodes, edges, stored=True)
-    first.colors.write.parquet(f"{folder}/state/version=0/nodes")
-    edges.write.parquet(f"{folder}/state/version=0/edges")
+    versions = graph_versions(spark, f"{folder}/state")
+    versions.put_whole(0, first.colors, edges)
     half = log.approxQuantile("seq", [0.5], 0.01)[0]
     for part in (log.where(F.col("seq") <= half), log.where(F.col("seq") > half)):
         part.write.mode("append").json(f"{folder}/log")
@@ -262,8 +262,22 @@ def _change_stream(spark: SparkSession, sf: str) -> DataFrame:
             spark, f"{folder}/log", f"{folder}/state", first.best_k,
             checkpoint_dir=f"{folder}/checkpoint", allow_new_colors=True,
         ).awaitTermination()
-    nodes = spark.read.schema("id long, color int").parquet(f"{folder}/state/version=2/nodes")
-    edges = spark.read.schema("src long, dst long").parquet(f"{folder}/state/version=2/edges")
+    return _structure(*versions.read(2))
+
+
+def _stepwise(spark: SparkSession, sf: str) -> DataFrame:
+    """The change log change by change over a sparse graph: what it ends in, and conflicts."""
+    scratch = Scratch(spark, "stepwise_query")
+    nodes = fx.part_nodes(spark, sf)
+    edges = scratch.write(fx.large_line_edges(spark, sf), "edges")
+    log = scratch.write(fx.local_changes(spark, sf), "changes")
+    first = graph.color_graph(nodes, edges, stored=True)
+    done = graph.recolor_stepwise(first.colors, edges, log, first.best_k, allow_new_colors=True)
+    return _structure(*done[:2])
+
+
+def _structure(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes and half-edges as rows; conflicts of the colouring would be rows too."""
     null = F.lit(None).cast("bigint").alias("b")
     wrong = graph.conflict_sample(nodes, edges).select(F.lit("conflict"), "u", "v")
     return (
@@ -388,6 +402,7 @@ def queries() -> dict[str, Query]:
         "graph_affected": _affected,
         "graph_recolor": _recolor,
         "graph_recolor_fixed_k": _recolor_fixed_k,
+        "graph_recolor_stepwise": _stepwise,
         "csv_read": _csv_read,
         "report_round_trip": _report,
         "graph_json_round_trip": _graph_json,

@@ -6,13 +6,15 @@ same expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import graph
 
 # Ids of nodes that the test change log adds start here.
 NEW_NODES = 1_000_000_000
+# Least quantity of a large order line.
+LARGE = 48
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,11 +92,50 @@ def part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.edges_from_shared_key(lines, key="l_orderkey", item="l_partkey")
 
 
+def large_line_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`part_edges` of the order lines with the largest quantities, a sparse graph."""
+    lines = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= LARGE)
+    return graph.edges_from_shared_key(lines, key="l_orderkey", item="l_partkey")
+
+
 def striped_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A wrong colouring on purpose: the part number modulo three."""
     return part_nodes(spark, sf_dir).select("id", (F.col("id") % 3).cast("int").alias("color"))
 
 
+def _with_ends(spark: SparkSession, sf_dir: str, order: Column) -> DataFrame:
+    """``seq, low, high``: per supplier, the smallest and largest part of one of its orders."""
+    lines = table(spark, sf_dir, "lineitem")
+    chosen = lines.groupBy(F.col("l_suppkey").alias("seq")).agg(order.alias("o"))
+    ends = lines.groupBy(F.col("l_orderkey").alias("o")).agg(
+        F.min("l_partkey").alias("low"), F.max("l_partkey").alias("high")
+    )
+    return chosen.join(ends, "o").drop("o")
+
+
+def local_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log with one change per supplier, most of them far from each other.
+
+    By supplier number, it removes the edge between the smallest and largest part of
+    the order of its dearest line, adds a node linked to them, links them, or removes
+    the largest.
+    """
+    dearest = F.max_by("l_orderkey", F.struct("l_extendedprice", -F.col("l_orderkey")))
+    turn, null = F.col("seq") % 4, F.lit(None).cast("bigint")
+    return _with_ends(spark, sf_dir, dearest).select(
+        "seq",
+        F.when(turn == 0, "REMOVE_EDGE")
+        .when(turn == 1, "ADD_NODE")
+        .when(turn == 2, "ADD_EDGE")
+        .otherwise("REMOVE_NODE")
+        .alias("type"),
+        F.when(turn == 1, F.col("seq") + NEW_NODES).when(turn == 3, F.col("high"))
+        .otherwise(F.col("low")).alias("a"),
+        F.when(turn.isin(0, 2), F.col("high")).otherwise(null).alias("b"),
+        F.when(turn == 1, F.array("low", "high")).alias("neighbors"),
+    )
+
+
 def part_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change log with one change per supplier, around its first order.
 
@@ -102,15 +143,10 @@ def part_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     largest part, adds a node linked to them and to a node that may not exist,
     links the smallest part to an added node, or removes the largest part.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    first = lines.groupBy(F.col("l_suppkey").alias("seq")).agg(F.min("l_orderkey").alias("o"))
-    ends = lines.groupBy(F.col("l_orderkey").alias("o")).agg(
-        F.min("l_partkey").alias("low"), F.max("l_partkey").alias("high")
-    )
     seq, low, high = F.col("seq"), F.col("low"), F.col("high")
     turn = seq % 4
     null = F.lit(None).cast("bigint")
-    return first.join(ends, "o").select(
+    return _with_ends(spark, sf_dir, F.min("l_orderkey")).select(
         "seq",
         F.when(turn == 0, "REMOVE_EDGE")
         .when(turn == 1, "ADD_NODE")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fixtures import NEW_NODES
+from .fixtures import LARGE, NEW_NODES
 
 ITEMS = """
 items AS (
@@ -188,11 +188,13 @@ cohorts AS (
 )"""
 )
 
-GRAPH = """
+
+def _graph(lines: str) -> str:
+    return f"""
 nodes AS MATERIALIZED (SELECT DISTINCT p_partkey AS id FROM part),
 pairs AS MATERIALIZED (
   SELECT DISTINCT hub AS u, l_partkey AS v
-  FROM lineitem JOIN (SELECT l_orderkey, min(l_partkey) AS hub FROM lineitem GROUP BY 1) h
+  FROM {lines} JOIN (SELECT l_orderkey, min(l_partkey) AS hub FROM {lines} GROUP BY 1) h
     USING (l_orderkey)
   WHERE hub <> l_partkey
 ),
@@ -204,6 +206,10 @@ degree AS MATERIALIZED (
 )"""
 
 
+GRAPH = _graph("lineitem")
+SPARSE_GRAPH = _graph(f"(SELECT * FROM lineitem WHERE l_quantity >= {LARGE})")
+
+
 def _by_hash(x: str) -> str:
     return f"({x}.id % 2147483647 * 469762049 % 2147483647)"
 
@@ -260,18 +266,35 @@ HASH_COLORED = (
 colors AS (SELECT id, CAST(c AS INT) AS color FROM st WHERE r = (SELECT max(r) FROM st))"""
 )
 
-CHANGES = f"""
+ENDS = """
+  JOIN (SELECT l_orderkey AS o, min(l_partkey) AS low, max(l_partkey) AS high
+        FROM lineitem GROUP BY 1) x USING (o)"""
+
+KINDS = """CASE seq % 4 WHEN 0 THEN 'REMOVE_EDGE' WHEN 1 THEN 'ADD_NODE'
+                    WHEN 2 THEN 'ADD_EDGE' ELSE 'REMOVE_NODE' END"""
+
+DEAREST = """SELECT l_suppkey AS seq, l_orderkey AS o FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey) = 1"""
+
+LOCAL_LOG = f"""
 log AS MATERIALIZED (
-  SELECT seq,
-         CASE seq % 4 WHEN 0 THEN 'REMOVE_EDGE' WHEN 1 THEN 'ADD_NODE'
-                      WHEN 2 THEN 'ADD_EDGE' ELSE 'REMOVE_NODE' END AS type,
+  SELECT seq, {KINDS} AS type,
+         CASE seq % 4 WHEN 1 THEN seq + {NEW_NODES} WHEN 3 THEN high ELSE low END AS a,
+         CASE WHEN seq % 4 IN (0, 2) THEN high END AS b,
+         CASE seq % 4 WHEN 1 THEN [low, high] END AS neighbors
+  FROM ({DEAREST}) f {ENDS}
+),"""
+
+LOG = f"""
+log AS MATERIALIZED (
+  SELECT seq, {KINDS} AS type,
          CASE seq % 4 WHEN 1 THEN seq + {NEW_NODES} WHEN 3 THEN high ELSE low END AS a,
          CASE seq % 4 WHEN 0 THEN high WHEN 2 THEN seq - 1 + {NEW_NODES} END AS b,
          CASE seq % 4 WHEN 1 THEN [low, high, seq - 4 + {NEW_NODES}, seq] END AS neighbors
-  FROM (SELECT l_suppkey AS seq, min(l_orderkey) AS o FROM lineitem GROUP BY 1) f
-  JOIN (SELECT l_orderkey AS o, min(l_partkey) AS low, max(l_partkey) AS high
-        FROM lineitem GROUP BY 1) x USING (o)
-),
+  FROM (SELECT l_suppkey AS seq, min(l_orderkey) AS o FROM lineitem GROUP BY 1) f {ENDS}
+),"""
+
+EFFECTS = f"""
 listed AS (SELECT seq, a, unnest(neighbors) AS nb FROM log WHERE type = 'ADD_NODE'),
 adds AS MATERIALIZED (
   SELECT a AS src, nb AS dst, seq, false AS needs FROM listed
@@ -313,6 +336,9 @@ affected AS MATERIALIZED (
      OR id IN (SELECT dst FROM edges2 WHERE src IN (SELECT id FROM named))
 )"""
 
+CHANGES = LOG + EFFECTS
+LOCAL_CHANGES = LOCAL_LOG + EFFECTS
+
 
 
 
@@ -621,6 +647,9 @@ def oracle_sql() -> dict[str, str]:
         "change_stream": f"""WITH {GRAPH}, {CHANGES}
             SELECT 'edge' AS kind, src AS a, dst AS b FROM edges2
             UNION ALL SELECT 'node', id, NULL FROM nodes2""",
+        "graph_recolor_stepwise": f"""WITH {SPARSE_GRAPH}, {LOCAL_CHANGES}
+            SELECT 'edge' AS kind, src AS a, dst AS b FROM edges2
+            UNION ALL SELECT 'node', id, NULL FROM nodes2""",
         "graph_affected": f"WITH {GRAPH}, {CHANGES} SELECT id FROM affected",
         "graph_recolor": f"""WITH RECURSIVE {COLORED}, {CHANGES},
             reset AS MATERIALIZED (

@@ -1,5 +1,6 @@
 """Change logs against a step-by-step model."""
 
+import importlib
 import random
 
 import pytest
@@ -7,6 +8,9 @@ import pytest
 from graph_model import apply_one, color_rounds
 from sparkloom.operators import graph
 
+# The package has a function of the same name.
+recolor_module = importlib.import_module("sparkloom.operators.graph.recolor")
+
 LOG = "seq long, type string, a long, b long, neighbors array<long>"
 
 
@@ -112,25 +116,98 @@ def test_recolor_with_too_few_colors_keeps_the_old_ones(spark):
     assert more.success and more.coloring.best_k == 3
 
 
-def test_stepwise_follows_the_model(spark):
-    nodes, edges = {i: i % 2 for i in range(6)}, cycle(6)
-    log = [("REMOVE_NODE", 3, None, None), ("ADD_EDGE", 0, 2, None), ("ADD_NODE", 9, None, [0, 2])]
-    n, e = frames(spark, nodes, edges)
-    got_n, got_e, outcomes = graph.recolor_stepwise(n, e, log_frame(spark, log), k=2)
-    want, pairs, want_outcomes = dict(nodes), set(edges), []
+def stepwise_model(nodes, edges, log, k):
+    want, pairs, outcomes = dict(nodes), set(edges), []
     for change in log:
         apply_one(want, pairs, change)
         named = {change[1], change[2]} - {None}
         hit = named | {b for a, b in pairs if a in named}
         start = {i: None if i in hit or c == -1 else c for i, c in want.items()}
-        colors, _, fails = color_rounds(start, pairs, k=2)
-        want_outcomes.append(not fails)
+        colors, _, fails = color_rounds(start, pairs, k=k)
+        outcomes.append(not fails)
         if not fails:
             want = colors
+    return want, pairs, outcomes
+
+
+@pytest.mark.parametrize("k", [2, 3])
+def test_stepwise_with_a_limit_follows_the_model(spark, k):
+    nodes, edges = {i: i % 2 for i in range(6)}, cycle(6)
+    log = [("REMOVE_NODE", 3, None, None), ("ADD_EDGE", 0, 2, None), ("ADD_NODE", 9, None, [0, 2])]
+    log += [("ADD_EDGE", 9, 1, None)][: k - 2]
+    n, e = frames(spark, nodes, edges)
+    got_n, got_e, outcomes = graph.recolor_stepwise(n, e, log_frame(spark, log), k=k)
+    want, pairs, want_outcomes = stepwise_model(nodes, edges, log, k)
     assert outcomes == want_outcomes
     assert collected(got_n, got_e) == (want, pairs)
 
 
+def test_stepwise_with_a_failure_beside_later_changes(spark):
+    # The ring over 0 to 4 needs a third colour; the path from 10 on is far away.
+    path = {(i, i + 1) for i in range(10, 30)} | {(i + 1, i) for i in range(10, 30)}
+    line = {(i, i + 1) for i in range(4)} | {(i + 1, i) for i in range(4)}
+    nodes = {i: i % 2 for i in [*range(5), *range(10, 31)]}
+    log = [("ADD_NODE", 50, None, [30]), ("ADD_EDGE", 0, 4, None), ("REMOVE_NODE", 10, None, None)]
+    n, e = frames(spark, nodes, path | line)
+    got_n, got_e, outcomes = graph.recolor_stepwise(n, e, log_frame(spark, log), k=2)
+    want, pairs, want_outcomes = stepwise_model(nodes, path | line, log, 2)
+    assert outcomes == want_outcomes == [True, False, True]
+    assert collected(got_n, got_e) == (want, pairs)
+
+
+def test_stepwise_in_layers_follows_the_model(spark, monkeypatch):
+    layers = []
+    once = recolor_module.recolor_part
+    monkeypatch.setattr(
+        recolor_module, "recolor_part", lambda *a: layers.append(1) or once(*a)
+    )
+    rng = random.Random(3)
+    ids = list(range(300))
+    nodes, edges = {}, set()
+    for a in ids[:280]:
+        for b in (a + 1, rng.choice(ids[:280]) if a % 7 == 0 else a + 1):
+            if b < 280 and a != b:
+                edges |= {(a, b), (b, a)}
+    edges.add((5, 290))  # one-sided
+    nodes, _, _ = color_rounds({i: None for i in ids[:280]}, edges)
+    log = random_log(rng, 12, ids) + [("ADD_EDGE", 7, 11, None)]
+    log += [("REMOVE_NODE", 7, None, None), ("ADD_NODE", 7, None, [11, 299, 13])]
+    n, e = frames(spark, nodes, edges)
+    got_n, got_e, outcomes = graph.recolor_stepwise(
+        n, e, log_frame(spark, log), k=2, allow_new_colors=True, compact_steps=2
+    )
+    want, pairs, _ = stepwise_model(nodes, edges, log, None)
+    assert collected(got_n, got_e) == (want, pairs)
+    assert outcomes == [True] * len(log)
+    assert len(layers) < len(log)
+
+
+def test_a_hub_passes_on_one_number(spark):
+    # Changes 0 and 2 name the hub, change 1 a node four links away, change 3 one near it.
+    near = [(0, i) for i in range(1, 50)] + [(i, 0) for i in range(1, 50)] + [(49, 60), (60, 49)]
+    near = spark.createDataFrame(near, "src long, dst long")
+    named = spark.createDataFrame([(0, 0), (2, 0), (1, 100), (3, 60)], "seq long, id long")
+    assert sorted(r["seq"] for r in recolor_module.ready_changes(named, near).collect()) == [0, 1]
+    empty = recolor_module.ready_changes(named.limit(0), near)
+    assert empty.isEmpty()
+
+
+def test_stepwise_of_an_empty_log(spark):
+    n, e = frames(spark, {0: 0, 1: 1}, {(0, 1), (1, 0)})
+    got_n, got_e, outcomes = graph.recolor_stepwise(n, e, log_frame(spark, [(
+        "ADD_EDGE", 0, 1, None)]).limit(0), k=2)
+    assert outcomes == [] and collected(got_n, got_e) == ({0: 0, 1: 1}, {(0, 1), (1, 0)})
+
+
+def test_stepwise_colors_what_came_uncolored(spark):
+    nodes, edges = {0: 0, 1: -1, 2: 0, 3: 1}, {(0, 1), (1, 0), (2, 3), (3, 2)}
+    log = [("ADD_EDGE", 2, 0, None), ("REMOVE_EDGE", 2, 3, None)]
+    n, e = frames(spark, nodes, edges)
+    got_n, got_e, outcomes = graph.recolor_stepwise(n, e, log_frame(spark, log), k=3)
+    want, pairs, want_outcomes = stepwise_model(nodes, edges, log, 3)
+    assert (outcomes, collected(got_n, got_e)) == (want_outcomes, (want, pairs))
+
+
 def test_demo_changes(spark):
     ring = cycle(13)
     n, e = frames(spark, {i: 0 for i in range(13)}, ring)

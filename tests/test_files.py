@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from sparkloom.operators import graph
 from sparkloom.plans import graph_job, track_report
 from sparkloom.sources import graph_files, reports, tables
-from sparkloom.streaming import stream_changes
+from sparkloom.streaming import change_stream, graph_versions, stream_changes
 
 HEADER = ",track_id,artists,album_name,track_name,popularity,duration_ms,explicit,danceability,energy,key,loudness,mode,speechiness,acousticness,instrumentalness,liveness,valence,tempo,time_signature,track_genre"
 
@@ -312,7 +312,38 @@ def test_stream_changes(spark, tmp_path):
         json.dumps({"seq": 1, "type": "ADD_NODE", "a": 7, "neighbors": [0]})
     )
     stream_changes(spark, logs, state, 3, checkpoint_dir=marks).awaitTermination(120)
-    nodes = spark.read.parquet(f"{state}/version=2/nodes")
-    edges = spark.read.parquet(f"{state}/version=2/edges")
+    nodes, edges = graph_versions(spark, state).read(2)
     assert nodes.count() == 4 and edges.count() == 8
     assert tuple(graph.validate(nodes, edges).first()) == (True, 0, 0, 0)
+
+
+def test_stream_writes_deltas_and_compacts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(change_stream, "COMPACT_BATCHES", 2)
+    logs, state, marks = (str(tmp_path / d) for d in ("logs", "state", "marks"))
+    ring = [(i, (i + 1) % 400) for i in range(400)]
+    both = ring + [(b, a) for a, b in ring]
+    versions = graph_versions(spark, state)
+    versions.put_whole(
+        0,
+        spark.createDataFrame([(i, i % 2) for i in range(400)], "id long, color int"),
+        spark.createDataFrame(both, "src long, dst long"),
+    )
+    (tmp_path / "logs").mkdir()
+    for turn in range(3):
+        change = {"seq": turn, "type": "ADD_NODE", "a": 1000 + turn, "neighbors": [10 * turn, 10 * turn + 1]}
+        (tmp_path / "logs" / f"{turn}.json").write_text(json.dumps(change))
+        stream_changes(spark, logs, state, 3, checkpoint_dir=marks).awaitTermination(120)
+    nodes, edges = versions.read(3)
+    assert nodes.count() == 403 and edges.count() == 812
+    assert tuple(graph.validate(nodes, edges).first()) == (True, 0, 0, 0)
+    # A batch writes what it changes, and every second one the whole graph.
+    assert spark.read.parquet(f"{state}/delta=3/edges").count() == 4
+    assert spark.read.parquet(f"{state}/delta=3/nodes").count() <= 5
+    assert spark.read.parquet(f"{state}/version=2/nodes").count() == 402
+    assert not (tmp_path / "state" / "version=3").exists()
+    # A batch that runs again writes the same version, and its change counts once.
+    before = versions.read(2)
+    batch = spark.read.schema(change_stream.LOG_SCHEMA).json(f"{logs}/2.json")
+    node_delta, edge_delta, done = graph.recolor_part(*before, batch, 3)
+    versions.put_delta(3, node_delta, edge_delta)
+    assert done.success and versions.read(3)[1].count() == 812
