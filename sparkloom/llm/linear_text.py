@@ -304,7 +304,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     return (
         docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         .mapInArrow(
-            _predictions(model), f"key {kind}, lang_pred string, score double, accepted boolean"
+            words.releasing(_predictions(model)), f"key {kind}, lang_pred string, score double, accepted boolean"
         )
         .withColumnRenamed("key", key)
     )
@@ -324,7 +324,7 @@ def keep_accepted(docs: DataFrame, model: Model, text: str = "text", label: str
                 columns[label_at] = pa.compute.coalesce(columns[label_at], guess)
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names).filter(accepted)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(words.releasing(run), docs.schema)
 
 
 def _pair(texts: pa.Array) -> pa.RecordBatch:

@@ -147,7 +147,7 @@ def _fetch(texts: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     marked = bitmap(reps.select(F.xxhash64("id").alias("hash")))
     kind = texts.schema["id"].dataType.simpleString()
     sets = texts.select("id", "text", F.xxhash64("id").alias("hash")).mapInArrow(
-        _whole_sets(k, marked), f"id {kind}, key binary, members array<long>"
+        words.releasing(_whole_sets(k, marked)), f"id {kind}, key binary, members array<long>"
     )
     return sets.join(reps, ["id", "key"]).select("uid", "members")
 
@@ -426,7 +426,7 @@ def _frequent(sets: DataFrame, levels: DataFrame) -> DataFrame:
     """Places and levels of the frequent tokens in each head that has one."""
     marked = bitmap(levels.select(F.col("token").alias("hash")))
     rows = sets.select("uid", "n", "head").mapInArrow(
-        _frequent_rows(marked), "uid long, n long, length int, place int, token long"
+        words.releasing(_frequent_rows(marked)), "uid long, n long, length int, place int, token long"
     )
     return (
         rows.hint("merge")
@@ -444,15 +444,15 @@ def _entries(sets: DataFrame, frequent: DataFrame, shared: np.ndarray | None, pe
     """Prefix entries; only heads with frequent tokens are shuffled to meet their levels."""
     uids = bitmap(frequent.select(F.col("uid").alias("hash")))
     sets = sets.select("uid", "n", "head")
-    with_known = sets.mapInArrow(_marked(uids), _SET).join(
+    with_known = sets.mapInArrow(words.releasing(_marked(uids)), _SET).join(
         frequent.select("uid", "known"), "uid", "left"
     )
     plain = F.lit(None).cast("array<struct<place:int,level:int>>")
     without = sets.withColumn("known", plain).mapInArrow(
-        _prefix_entries(percent, shared, uids), _ENTRY
+        words.releasing(_prefix_entries(percent, shared, uids)), _ENTRY
     )
     run = _prefix_entries(percent, shared)
-    return with_known.select("uid", "n", "head", "known").mapInArrow(run, _ENTRY).union(without)
+    return with_known.select("uid", "n", "head", "known").mapInArrow(words.releasing(run), _ENTRY).union(without)
 
 
 def _lists(classes: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, scratch):
@@ -520,7 +520,7 @@ def _light_links(
         )
         light = light.where("size(head) >= n").union(whole)
     subsets = light.mapInArrow(
-        _subsets(boundary, percent), "a int, b int, larger int, subset binary, uid long"
+        words.releasing(_subsets(boundary, percent)), "a int, b int, larger int, subset binary, uid long"
     )
     groups = subsets.groupBy(*family).agg(
         F.min("uid").alias("v"), F.max("larger").alias("high"), F.min("larger").alias("low"),
@@ -608,7 +608,7 @@ def _long_pairs(members: DataFrame, boundary: int, percent: int, keep: str) -> D
         members.select(*_MEMBER)
         .repartition(*_BLOCK_KEY)
         .sortWithinPartitions(*_BLOCK_KEY)
-        .mapInArrow(_scan(boundary, percent, keep), "u long, v long")
+        .mapInArrow(words.releasing(_scan(boundary, percent, keep)), "u long, v long")
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct()
     )
@@ -619,14 +619,14 @@ def _short_pairs(lists: DataFrame, classes: DataFrame, boundary: int, percent: i
         lists.select("token", "uid", "n")
         .repartition("token")
         .sortWithinPartitions("token")
-        .mapInArrow(_scan_short(boundary, percent), "u long, v long")
+        .mapInArrow(words.releasing(_scan_short(boundary, percent)), "u long, v long")
         .distinct()
     )
     one = classes.select(F.col("uid").alias("u"), "n", F.col("signature").alias("x"))
     two = classes.select(
         F.col("uid").alias("v"), F.col("n").alias("m"), F.col("signature").alias("y")
     )
-    return pairs.join(one, "u").join(two, "v").mapInArrow(_near(percent), "u long, v long")
+    return pairs.join(one, "u").join(two, "v").mapInArrow(words.releasing(_near(percent)), "u long, v long")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -694,7 +694,7 @@ def jaccard_components(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = texts.mapInArrow(
-        _sets(k, percent), f"id {kind}, n long, key binary, head array<long>, signature binary"
+        words.releasing(_sets(k, percent)), f"id {kind}, n long, key binary, head array<long>, signature binary"
     )
     rows = scratch.write(rows.withColumn("uid", F.monotonically_increasing_id()), "rows")
     linked = rows.where("n > 0 AND id IS NOT NULL")

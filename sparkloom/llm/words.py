@@ -67,6 +67,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def releasing(run):
+    """``run`` over a task's batches, handing Arrow's unused memory back when they end.
+
+    Python workers outlive their tasks; without this they keep the largest
+    batches' memory while later stages run beside them.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of at most ``limit`` text bytes, or one row."""
     _, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
