@@ -9,16 +9,19 @@ a ratio of the nearest distance, found by walking the graph.
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch
-from .vectors import BLOCK, FOUND, Best, block_rows, ranked, stacked, unpack, valid
+from .vectors import FOUND, Best, ranked, stacked, valid
+from .words import releasing
 
 K = 20
 SAMPLED = 16_384  # rows that centroids, graph and ratio are fitted on, as an expected number
@@ -31,14 +34,20 @@ WANTED = 0.96  # share of the true neighbours that the ratio is fitted to find,
 TRIALS = 256  # sample queries for that
 LINKS = 16  # neighbours of a centroid in the graph
 ENTRIES = 16  # start of a walk, of either kind
-ROWS = 4096  # rows of a block of a list
-GROUP = 1024  # queries of a block
+ROWS = 16_384  # rows of a block of a list, as an expected number
+HELD = 1 << 20  # components of the queries that meet a block at once, as an expected number
 FLUSH = 20_000  # queries whose best a task keeps at once
+DISTANCES = 1 << 22  # distances from vectors to centroids that a task holds at once
+SCORES = 1 << 20  # scores that a task holds at once
+VALUES = 1 << 20  # components of the listed vectors that a task hands over at once
 
 
 def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    square = (x * x).sum(axis=1)[:, None] - 2 * x @ centers.T + (centers * centers).sum(axis=1)
-    return np.sqrt(np.maximum(square, 0))
+    # One array of all distances, worked on in place.
+    square = 2 * x @ centers.T
+    np.subtract((x * x).sum(axis=1)[:, None], square, out=square)
+    square += (centers * centers).sum(axis=1)
+    return np.sqrt(np.maximum(square, 0, out=square), out=square)
 
 
 def balanced_centers(x: np.ndarray, lists: int, draw: np.random.Generator) -> np.ndarray:
@@ -46,7 +55,9 @@ def balanced_centers(x: np.ndarray, lists: int, draw: np.random.Generator) -> np
     centers = x[draw.choice(len(x), lists, replace=False)]
     surplus = np.zeros(lists)
     for _ in range(ROUNDS):
-        owner = (_distances(x, centers) + surplus).argmin(axis=1)
+        distance = _distances(x, centers)
+        distance += surplus
+        owner = distance.argmin(axis=1)
         counts = np.bincount(owner, minlength=lists)
         sums = np.zeros_like(centers)
         np.add.at(sums, owner, x)
@@ -81,11 +92,15 @@ class Index:
 
     def lists_of(self, x: np.ndarray) -> list[np.ndarray]:
         """Lists of each data vector: the nearest, and the next ones within the boundary ratio."""
-        distance = _distances(self.lifted(x), self.centers)
-        near = np.argsort(distance, axis=1)[:, :COPIES]
-        rows = np.take_along_axis(distance, near, axis=1)
-        inside = rows <= BOUNDARY * rows[:, :1]
-        return [n[i] for n, i in zip(near, inside, strict=True)]
+        found: list[np.ndarray] = []
+        step = max(1, DISTANCES // len(self.centers))
+        for start in range(0, len(x), step):
+            distance = _distances(self.lifted(x[start : start + step]), self.centers)
+            near = np.argsort(distance, axis=1)[:, :COPIES]
+            rows = np.take_along_axis(distance, near, axis=1)
+            inside = rows <= BOUNDARY * rows[:, :1]
+            found += [n[i] for n, i in zip(near, inside, strict=True)]
+        return found
 
     def read_by(self, q: np.ndarray, k: int) -> list[np.ndarray]:
         """Lists that each query reads, by walking the graph of centroids from near to far.
@@ -175,7 +190,8 @@ def _postings(index: dict[int, Index], k: int | None = None):
     """Rows of id, vector and ``part``, the number of a list, once per list of the vector.
 
     With ``k``, the rows are queries and the lists those they read; ``first``
-    marks the nearest list of a row of data.
+    marks the nearest list of a row of data. The rows come in pieces of at most
+    ``VALUES`` components, as a query may read hundreds of lists.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,35 +202,67 @@ def _postings(index: dict[int, Index], k: int | None = None):
                 copies = np.repeat(np.arange(len(rows)), [len(n) for n in lists])
                 part = size * CENTROIDS + np.concatenate(lists)
                 first = np.concatenate([np.arange(len(n)) == 0 for n in lists])
-                yield rows.iloc[copies].assign(part=part, first=first)
+                step = max(1, VALUES // size)
+                for start in range(0, len(copies), step):
+                    some = slice(start, start + step)
+                    yield rows.iloc[copies[some]].assign(part=part[some], first=first[some])
 
     return run
 
 
 def _searched(k: int):
-    """Best candidates per query over the lists of a task."""
+    """Best candidates per query over the tiles of a task.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A tile is the rows of one part, block and deal, its queries first. Those are
+    held while its candidates pass by; scores of at most ``SCORES`` pairs, or one
+    query, are held at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pd.DataFrame] = []
+        tile, asked, best, q = None, [], None, None
 
         def merged() -> pd.DataFrame:
             rows = pd.concat(kept).drop_duplicates(["query_id", "vec_id", "score"])
             rows = rows.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
             return rows.groupby("query_id").head(k)
 
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                q_ids, q = unpack(row.q_ids, row.q_matrix)
-                ids, x = unpack(row.ids, row.matrix)
-                best = Best(q_ids, k)
-                best.offer(np.arange(len(q)), ids, np.einsum("ij,kj->ik", q, x))
-                kept.append(best.frame())
-                if sum(map(len, kept)) > FLUSH * k:
-                    kept[:] = [merged()]
-                    if len(kept[0]) > FLUSH * k // 2:
-                        yield kept.pop()
+        def given(rows: pd.DataFrame) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pandas(rows, preserve_index=False)
+
+        for batch in batches:
+            keys = np.stack([batch[c].to_numpy() for c in ("part", "block", "deal", "candidate")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for start, stop in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+                rows = batch.slice(start, stop - start)
+                if rows.num_rows == 0:
+                    continue
+                if tile != (key := tuple(keys[:3, start].tolist())):
+                    if best is not None:
+                        kept.append(best.frame())
+                    tile, asked, best = key, [], None
+                    if sum(map(len, kept)) > FLUSH * k:
+                        kept[:] = [merged()]
+                        if len(kept[0]) > FLUSH * k // 2:
+                            yield given(kept.pop())
+                ids = rows["id"].to_numpy()
+                x = rows["v"].flatten().to_numpy().reshape(len(ids), -1)
+                if not keys[3, start]:
+                    asked.append((ids, x))
+                    continue
+                if best is None:
+                    if not asked:
+                        continue
+                    best = Best(np.concatenate([i for i, _ in asked]), k)
+                    q = np.concatenate([v for _, v in asked])
+                step = max(1, SCORES // len(ids))
+                for at in range(0, len(q), step):
+                    some = np.arange(at, min(at + step, len(q)))
+                    best.offer(some, ids, np.einsum("ij,kj->ik", q[some], x))
+        if best is not None:
+            kept.append(best.frame())
         if kept:
-            yield merged()
+            yield given(merged())
 
     return run
 
@@ -231,7 +279,7 @@ def nearest(
     Queries are the rows whose id meets ``is_query``, candidates all rows but
     those with the query's id; ties go to the smaller id. Every row is listed;
     centroids, graph and ratio come from a sample of about ``SAMPLED`` rows. Long
-    lists and many queries of a list are cut into blocks that meet one by one.
+    lists and many queries are cut into blocks and deals that meet one by one.
     Scores are those of the vectors as given, in doubles.
 
     A query goes on to further lists until they hold ``k`` candidates; it finds
@@ -246,7 +294,9 @@ def nearest(
     data = scratch.write(data, "rows")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     facts = data.groupBy(F.size("v").alias("size")).agg(
-        F.count("*").alias("n"), F.max(norm).alias("longest")
+        F.count("*").alias("n"),
+        F.max(norm).alias("longest"),
+        F.count_if(is_query(F.col("id"))).alias("asked"),
     )
     facts = {r["size"]: r for r in facts.collect()}
     total = max(sum(r["n"] for r in facts.values()), 1)
@@ -266,19 +316,38 @@ def nearest(
         index[size].held = np.zeros(len(index[size].centers), np.int64)
     for r in sizes:
         index[r["part"] // CENTROIDS].held[r["part"] % CENTROIDS] = r["count"]
-    counts = listed.groupBy("part").agg(F.ceil(F.count("*") / ROWS).alias("blocks"))
-    dealt = listed.join(counts, "part").withColumn("deal", F.pmod(F.xxhash64("id"), "blocks"))
-    blocks = (
-        dealt.repartition("part", "deal").sortWithinPartitions("part", "deal")
-        .select("id", "v", "part").mapInPandas(block_rows(ROWS), BLOCK)
+    # Blocks of a list's rows meet deals of its queries; one row per list.
+    counts = listed.groupBy("part").count().collect()
+    tiles = F.broadcast(
+        vectors.sparkSession.createDataFrame(
+            [
+                (r["part"], -(-r["count"] // ROWS), max(1, -(-facts[size]["asked"] * size // HELD)))
+                for r in counts
+                for size in [r["part"] // CENTROIDS]
+            ],
+            "part long, blocks int, deals int",
+        )
+    )
+    spread = F.xxhash64("id", "v")
+    rows = listed.join(tiles, "part").select(
+        "part",
+        F.pmod(spread, "blocks").cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"),
+        F.lit(1).alias("candidate"),
+        "id",
+        "v",
     )
     read = data.where(is_query(F.col("id"))).mapInPandas(_postings(index, k), schema)
-    groups = (
-        read.withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(64)))
-        .repartition("part", "deal").sortWithinPartitions("part", "deal")
-        .select("id", "v", "part").mapInPandas(block_rows(GROUP), BLOCK)
-        .select("part", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+    asked = read.join(tiles, "part").select(
+        "part",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(spread, "deals").cast("int").alias("deal"),
+        F.lit(0).alias("candidate"),
+        "id",
+        "v",
     )
-    pairs = blocks.hint("merge").join(groups.hint("merge"), "part")
-    found = pairs.select("q_ids", "q_matrix", "ids", "matrix").mapInPandas(_searched(k), FOUND)
+    # A deal's tiles follow each other, so that a task merges what its queries found.
+    dealt = asked.unionByName(rows).repartition("part", "block", "deal")
+    dealt = dealt.sortWithinPartitions("deal", "part", "block", "candidate")
+    found = dealt.mapInArrow(releasing(_searched(k)), FOUND)
     return ranked(found, k)
