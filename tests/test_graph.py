@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from graph_model import color_rounds, k_search
 from sparkloom.operators import graph
+from sparkloom.operators.graph import coloring
+from sparkloom.scratch import Scratch
 
 
 def frames(spark, colors, half_edges):
@@ -210,3 +212,39 @@ def test_generate_links_two_nodes_once(spark):
 def test_generate_rejects_bad_sizes(spark, n, degree):
     with pytest.raises(ValueError):
         graph.generate_graph(spark, n, degree)
+
+
+def test_rounds_are_as_wide_as_the_edges_need(spark, monkeypatch):
+    """A small graph is not cut into as many tasks as the session's shuffles have."""
+    widths, plain = [], Scratch.write_bucketed
+
+    def seen(self, df, step, keys, buckets):
+        widths.append((buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        return plain(self, df, step, keys, buckets)
+
+    monkeypatch.setattr(Scratch, "write_bucketed", seen)
+    rng = random.Random(3)
+    edges = both_ways({tuple(sorted(rng.sample(range(60), 2))) for _ in range(150)})
+    blank = {i: None for i in range(60)}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "97")
+        assert graph.color_graph(*frames(spark, blank, edges)).success
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "97"
+        assert widths == [(cores, cores)]
+        # More edges than a bucket should hold make more buckets.
+        monkeypatch.setattr(coloring, "BUCKET_EDGES", 1 + len(edges) // (cores + 5))
+        assert not graph.color_graph(*frames(spark, blank, edges), k_max=1).success
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "97"
+        assert cores < widths[1][0] == widths[1][1] < 97
+        # Written again as edges are finished, and restored if a round fails.
+        monkeypatch.setattr(coloring, "BUCKET_EDGES", 1_000_000)
+        assert graph.color_graph(*frames(spark, blank, edges), compact_edges=0).success
+        assert len(widths) > 3
+        monkeypatch.setattr(coloring, "_round", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            graph.color_graph(*frames(spark, blank, edges))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "97"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
